@@ -39,8 +39,8 @@ def left_normalised(df: DataFrame, ref: DataFrame, pairs: Mapping[str, str]) ->
     keyed = ref.select(
         *[upper_trim(F.col(r)).alias(f"_ref_{l}") for l, r in pairs.items()],
         *[c for c in ref.columns if c not in pairs.values()],
-    )
-    matched = df.join(keyed, _all([upper_trim(df[l]) == F.col(f"_ref_{l}") for l in pairs]), "left")
+    ).distinct()
+    matched = df.join(own_shuffle(keyed), _all([upper_trim(df[l]) == F.col(f"_ref_{l}") for l in pairs]), "left")
     return matched.drop(*[f"_ref_{l}" for l in pairs])
 
 

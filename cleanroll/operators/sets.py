@@ -34,6 +34,11 @@ def unique_keys(df: DataFrame, *keys: str) -> DataFrame:
     return own_shuffle(df.select(*keys).where(present).distinct())
 
 
+def only_in(df: DataFrame, key: str, others: DataFrame) -> DataFrame:
+    """Rows of `df` whose `key` is in `others`; repeats in `others` add no rows."""
+    return df.join(unique_keys(others, key), key, "left_semi")
+
+
 def not_in(df: DataFrame, key: str, others: DataFrame) -> DataFrame:
     """Rows of `df` whose non-NULL `key` is not in `others`; multiplicity is kept."""
     return df.where(F.col(key).isNotNull()).join(unique_keys(others, key), key, "left_anti")

@@ -36,7 +36,7 @@ def address_load(employment: DataFrame, known: DataFrame, states: DataFrame) ->
     fresh = not_in(rows, "_key", known.select(address_key().alias("_key"))).drop("_key")
     keyed = left_normalised(
         fresh,
-        states.select("country_synonym", "state_name", "address_state_key").distinct(),
+        states.select("country_synonym", "state_name", "address_state_key"),
         {"country": "country_synonym", "state": "state_name"},
     )
     return keyed.select(

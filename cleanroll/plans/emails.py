@@ -9,7 +9,7 @@ from cleanroll.functions.periods import DAY, changed_in
 from cleanroll.functions.text import email_request
 from cleanroll.operators.landing import land
 from cleanroll.operators.providers import flatten_email_verdict
-from cleanroll.operators.sets import cap, distinct_keys, minus_distinct, not_recent
+from cleanroll.operators.sets import cap, distinct_keys, minus_distinct, not_recent, only_in
 from cleanroll.sources.answers import answers
 
 PROVIDER = "email"
@@ -22,12 +22,12 @@ DATE = "email_verification_date"
 def email_owners(batch: DataFrame, emails: DataFrame, history: DataFrame, run_date, days: int, grain: str = DAY) -> DataFrame:
     """Emails of the batch changed in the period, not verified recently, and well formed.
 
-    One row per batch row; these rows own the verdicts on landing. The validity test
-    needs only the email itself, so it runs before the joins.
+    These rows own the verdicts on landing. The validity test needs only the email
+    itself, so it runs before the joins; the batch carries no columns, so it only filters.
     """
     master = emails.select("person_key", "email_address", "person_email_key", "updated_date")
     changed = changed_in(master, "updated_date", run_date, grain).where(valid_email(F.col("email_address")))
-    owners = changed.join(batch.select("person_email_key"), "person_email_key")
+    owners = only_in(changed, "person_email_key", batch)
     return not_recent(owners, "person_email_key", history, run_date=run_date, days=days)
 
 
@@ -56,7 +56,7 @@ def enriched_email_owners(
     """
     key = F.col("enrichment_api_person_email_key").alias("person_email_key")
     changed = changed_in(enrichment_as_master(emails), "updated_date", run_date, grain)
-    owners = changed.where(valid_email(F.col("email_address"))).join(batch.select(key), "person_email_key")
+    owners = only_in(changed.where(valid_email(F.col("email_address"))), "person_email_key", batch.select(key))
     return not_recent(
         owners, "person_email_key", history, enriched_history.select(key, "updated_date"), run_date=run_date, days=days
     )

@@ -8,7 +8,7 @@ from cleanroll.functions.periods import DAY, changed_in
 from cleanroll.functions.text import detail_request, match_request
 from cleanroll.operators.landing import land
 from cleanroll.operators.providers import flatten_person_match, parse_person_detail, person_detail_tables
-from cleanroll.operators.sets import cap, distinct_keys, not_in, not_recent
+from cleanroll.operators.sets import cap, distinct_keys, not_in, not_recent, own_shuffle
 from cleanroll.session import stage
 from cleanroll.sources.answers import answers
 
@@ -19,8 +19,8 @@ NAME_AND_EMAIL = ("first_name", "last_name", "email_address")
 def match_owners(batch: DataFrame, bridged: DataFrame, emails: DataFrame, run_date, grain: str = DAY) -> DataFrame:
     """Persons of the period that are not enriched yet, with each of their emails."""
     persons = batch.select("person_key", "first_name", "last_name", "person_updated_date")
-    changed = changed_in(persons, "person_updated_date", run_date, grain).drop("person_updated_date")
-    fresh = not_in(changed, "person_key", bridged)
+    changed = changed_in(persons, "person_updated_date", run_date, grain).drop("person_updated_date").distinct()
+    fresh = own_shuffle(not_in(changed, "person_key", bridged))
     return fresh.join(emails.select("person_key", "email_address"), "person_key")
 
 

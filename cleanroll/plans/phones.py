@@ -15,7 +15,7 @@ from cleanroll.operators.providers import (
     flatten_phone_reverse,
     flatten_phone_verdict,
 )
-from cleanroll.operators.sets import cap, distinct_keys, not_recent
+from cleanroll.operators.sets import cap, distinct_keys, not_recent, only_in
 from cleanroll.sources.answers import answers
 
 VERDICT, EXCHANGE, REVERSE, OWNER = "phone", "phone_exchange", "phone_reverse", "phone_owner"
@@ -49,7 +49,7 @@ def phone_candidates(
         "person_key", "telephone_number", "person_phone_key", "updated_date"
     )
     changed = changed_in(master, "updated_date", run_date, grain)
-    owned = changed.join(batch.select("person_key"), "person_key")
+    owned = only_in(changed, "person_key", batch)
     located = resolve_country(owned, bridge, address, synonyms)
     asked = located.select("person_phone_key", "telephone_number", "country_code").distinct()
     return _outside_cooldown(standardise(asked, "telephone_number", "country_code", plan).select(*COLUMNS), histories, run_date, days)
