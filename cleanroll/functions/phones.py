@@ -47,19 +47,43 @@ PLAN = (
 )
 
 
-def _choose(branches: Sequence[tuple[Column, Column]], otherwise: Column) -> Column:
-    chosen = None
-    for condition, value in branches:
-        chosen = F.when(condition, value) if chosen is None else chosen.when(condition, value)
-    return otherwise if chosen is None else chosen.otherwise(otherwise)
+def _lookup(entries: dict[str, Column], key: Column) -> Column:
+    """The entry of `key`, NULL if there is none; the entries fold into one literal map."""
+    pairs = [part for name, value in entries.items() for part in (F.lit(name), value)]
+    return F.try_element_at(F.create_map(*pairs), key)
+
+
+def _rules(entry: Region) -> Column:
+    return F.struct(
+        F.lit(entry.calling_code).alias("code"),
+        F.lit(entry.trunk).alias("trunk"),
+        F.lit(entry.min_len).alias("least"),
+        F.lit(entry.max_len).alias("most"),
+        F.lit(entry.pattern).alias("pattern"),
+    )
+
 
+def _fits(digits: Column, prefix: Column, rules: Column) -> Column:
+    """Does `digits` start with a non-empty `prefix` and have a length of the region after it?"""
+    rest = F.length(digits) - F.length(prefix)
+    return (prefix != "") & digits.startswith(prefix) & rest.between(rules["least"], rules["most"])
 
-def _starts(digits: Column, prefix: str) -> Column:
-    return digits.startswith(prefix) if prefix else F.lit(False)
 
+def _after(digits: Column, prefix: Column) -> Column:
+    return digits.substr(F.length(prefix) + 1, F.lit(MAX_DIGITS))
 
-def _after(digits: Column, prefix: str) -> Column:
-    return F.substring(digits, len(prefix) + 1, MAX_DIGITS)
+
+def _national(digits: Column, abroad: Column, rules: Column) -> Column:
+    code, trunk = rules["code"], rules["trunk"]
+    # "+44 (0)20 ...": the trunk digit is written although the calling code is there.
+    doubled = F.when(trunk != code, F.concat(code, trunk)).otherwise("")
+    outside = F.when(_fits(digits, doubled, rules), _after(digits, doubled)).otherwise(_after(digits, code))
+    local = (
+        F.when(_fits(digits, trunk, rules), _after(digits, trunk))
+        .when((F.length(digits) > rules["most"]) & _fits(digits, code, rules), _after(digits, code))
+        .otherwise(digits)
+    )
+    return F.when(rules.isNull(), digits).when(abroad, outside).otherwise(local)
 
 
 def standardise(
@@ -78,60 +102,37 @@ def standardise(
     """
     if len(plan) > MAX_REGIONS:
         raise ValueError(f"a plan holds at most {MAX_REGIONS} regions")
-    digits = F.col("_digits")
-    abroad = F.col("_abroad")
-    region = F.coalesce(F.col(country), F.lit(default)) if country else F.lit(default)
+    digits, abroad, rules = F.col("_digits"), F.col("_abroad"), F.col("_rules")
+    home = F.coalesce(F.col(country), F.lit(default)) if country else F.lit(default)
+
+    # Regions sharing a calling code share the first one's rules.
+    by_code: dict[str, Region] = {}
+    for entry in plan:
+        by_code.setdefault(entry.calling_code, entry)
+    named = {code: F.lit(entry.region) for code, entry in by_code.items()}
+    sizes = sorted({len(code) for code in by_code}, reverse=True)
+    called = F.coalesce(*[_lookup(named, F.substring(digits, 1, n)) for n in sizes])
 
     read = (
         df.withColumn("_digits", F.regexp_replace(number, "[^0-9]", ""))
         .where(F.length("_digits").between(MIN_DIGITS, MAX_DIGITS))
         .withColumn("_abroad", F.ltrim(F.col(number)).startswith("+"))
+        .withColumn("_region", F.when(abroad, called).otherwise(home))
+        .withColumn("_rules", _lookup({e.region: _rules(e) for e in plan}, F.col("_region")))
+        .withColumn("_national", _national(digits, abroad, rules))
+        # The national number is a number: leading zeros carry no meaning. It is never NULL here,
+        # and says so, or a later NULL test would pull the whole expression into a filter.
+        .withColumn("standardised_phone_number", F.coalesce(F.regexp_replace("_national", "^0+(?=[0-9])", ""), F.lit("")))
     )
-
-    # Longest calling codes first; regions sharing a code share the first one's rules.
-    by_code: dict[str, Region] = {}
-    for entry in plan:
-        by_code.setdefault(entry.calling_code, entry)
-    codes = [by_code[code] for code in sorted(by_code, key=len, reverse=True)]
-    branches = [(abroad & _starts(digits, r.calling_code), F.lit(r.region)) for r in codes]
-    branches += [(~abroad & (region == r.region), F.lit(r.region)) for r in plan]
-    read = read.withColumn("_region", _choose(branches, F.lit(None).cast("string")))
-
-    def national(r: Region) -> Column:
-        def fits(prefix: str) -> Column:
-            return _starts(digits, prefix) & (F.length(digits) - len(prefix)).between(r.min_len, r.max_len)
-
-        local = (
-            F.when(fits(r.trunk), _after(digits, r.trunk))
-            .when((F.length(digits) > r.max_len) & fits(r.calling_code), _after(digits, r.calling_code))
-            .otherwise(digits)
-        )
-        outside = _after(digits, r.calling_code)
-        if r.trunk and r.trunk != r.calling_code:
-            # "+44 (0)20 ...": the trunk digit is written although the calling code is there.
-            doubled = F.length(outside) - len(r.trunk)
-            outside = F.when(
-                outside.startswith(r.trunk) & doubled.between(r.min_len, r.max_len), _after(outside, r.trunk)
-            ).otherwise(outside)
-        return F.when(abroad, outside).otherwise(local)
-
-    here = F.col("_region")
-    read = read.withColumn("_national", _choose([(here == r.region, national(r)) for r in plan], digits))
-    # The national number is a number: leading zeros carry no meaning.
-    trimmed = F.regexp_replace("_national", "^0+(?=[0-9])", "")
-    read = read.withColumn("standardised_phone_number", trimmed)
-    valid = _choose(
-        [
-            (here == r.region, F.col("standardised_phone_number").rlike(rf"\A(?:{r.pattern})\z"))
-            for r in plan
-        ],
-        F.lit(False),
-    )
-    calling = _choose([(here == r.region, F.lit(r.calling_code)) for r in plan], F.lit(None).cast("string"))
+    # One branch per pattern keeps each pattern a literal, compiled once.
+    valid = F.lit(False)
+    for pattern in sorted({entry.pattern for entry in plan}):
+        matches = F.col("standardised_phone_number").rlike(rf"\A(?:{pattern})\z")
+        valid = F.when(rules["pattern"] == pattern, matches).otherwise(valid)
     return (
         read.withColumn("is_valid_flag", valid.cast("string"))
-        .withColumn("calling_code", calling)
-        .drop("_digits", "_abroad", "_region", "_national")
+        .withColumn("calling_code", rules["code"])
+        .drop("_digits", "_abroad", "_region", "_rules", "_national")
     )
 
 

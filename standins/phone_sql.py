@@ -32,14 +32,14 @@ def standardised(source: str, number: str, country: str | None) -> dict[str, str
         "placed": f"""select r.*, case when abroad then coalesce(c2.region, c1.region) else {region} end as region_
             from readable r left join first_of_code c2 on c2.code = substring(d, 1, 2)
             left join first_of_code c1 on c1.code = substring(d, 1, 1) where length(d) between 2 and 17""",
-        "cut": f"""select p.*, plan.code, plan.pattern, case
-            when plan.region is null then d
+        "cut": f"""select p.*, pl.code, pl.pattern, case
+            when pl.region is null then d
             when abroad and trunk <> code and trunk <> '' and starts_with(substring(d, length(code) + 1), trunk)
                  and length(d) - length(code) - length(trunk) between lo and hi then substring(d, length(code) + length(trunk) + 1)
             when abroad then substring(d, length(code) + 1)
             when {fits('trunk')} then substring(d, length(trunk) + 1)
             when length(d) > hi and {fits('code')} then substring(d, length(code) + 1)
-            else d end as n from placed p left join plan on plan.region = region_""",
+            else d end as n from placed p left join plan pl on pl.region = region_""",
         "trimmed": "select *, case when ltrim(n, '0') = '' then '0' else ltrim(n, '0') end as std_number from cut",
         "std": f"""select * exclude (d, abroad, region_, n, code, pattern, std_number), std_number as standardised_phone_number,
             case when pattern is not null and regexp_full_match(std_number, pattern) then 'true' else 'false' end as is_valid_flag,

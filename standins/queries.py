@@ -19,6 +19,7 @@ from cleanroll.sinks import ParquetSink, append_all, by_name
 from cleanroll.sources.answers import answers, latest_bodies
 from cleanroll.sources.settings import settings_table
 from cleanroll.sources.tables import ParquetTables
+from standins import bodies as sb
 from standins import tables as st
 from standins.body_sql import answered, at, columns, items, list_items, readable
 from standins.phone_sql import standardised
@@ -252,7 +253,7 @@ def _(t):
 
 PHONE_FLAT = {
     **answered("phone_landed"), **readable(),
-    "flat": f"select request_key, {columns('Records[0]', st.PHONE_VERDICT_NAMES, 'null_text')} from bodies where json_exists(j, '$.Records[0]')",
+    "flat": f"select request_key, {columns('Records[0]', sb.PHONE_VERDICT_NAMES, 'null_text')} from bodies where json_exists(j, '$.Records[0]')",
 }
 
 
@@ -541,8 +542,8 @@ def _note_rule(name: str) -> str:
 
 EXCHANGE_FLAT = {
     **answered("exchange_landed"), **readable(),
-    "flat": f"select request_key, {columns('ExchangeInfoResults[0]', st.EXCHANGE_NAMES, 'null_text')}, "
-            f"{columns('ExchangeInfoResults[0].PortedInfo', st.PORTED_NAMES, 'null_text')}, {_note('NoteCodes')}, {_note('NoteDescriptions')} "
+    "flat": f"select request_key, {columns('ExchangeInfoResults[0]', sb.EXCHANGE_NAMES, 'null_text')}, "
+            f"{columns('ExchangeInfoResults[0].PortedInfo', sb.PORTED_NAMES, 'null_text')}, {_note('NoteCodes')}, {_note('NoteDescriptions')} "
             f"from bodies where json_exists(j, '$.ExchangeInfoResults[0]') and {_note_rule('NoteCodes')} and {_note_rule('NoteDescriptions')}",
 }
 
@@ -555,7 +556,7 @@ def _(t):
 STRICT = ["City", "EmailAddress", "MelissaAddressKey", "NameFull", "PhoneNumber", "PostalCode", "RecordExtras", "RecordID", "Reserved", "Results", "State"]
 REVERSE_FLAT = {
     **answered("reverse_landed"), **readable(),
-    "flat": f"select request_key, {columns('Records[0]', st.REVERSE_NAMES, 'null_text')} from bodies where "
+    "flat": f"select request_key, {columns('Records[0]', sb.REVERSE_NAMES, 'null_text')} from bodies where "
             + " and ".join(f"coalesce(json_type(j, '$.Records[0].{n}'), 'VARCHAR') = 'VARCHAR'" for n in STRICT),
 }
 
@@ -568,9 +569,9 @@ def _(t):
 OWNER_FLAT = {
     **answered("owner_landed"), **readable(),
     "flat": "select request_key, " + ", ".join([
-        columns("PhoneInfo.Provider", {f"Provider{n}": n for n in st.PROVIDER_NAMES}, "null_or_empty"),
-        columns("PhoneInfo.Contacts[0]", {f"Contacts{n}": n for n in st.CONTACT_NAMES}, "null_or_empty"),
-        columns("PhoneInfo", st.OWNER_NAMES, "null_or_empty"),
+        columns("PhoneInfo.Provider", {f"Provider{n}": n for n in sb.PROVIDER_NAMES}, "null_or_empty"),
+        columns("PhoneInfo.Contacts[0]", {f"Contacts{n}": n for n in sb.CONTACT_NAMES}, "null_or_empty"),
+        columns("PhoneInfo", sb.OWNER_NAMES, "null_or_empty"),
     ]) + " from bodies where json_exists(j, '$.PhoneInfo')",
 }
 
@@ -580,28 +581,28 @@ def _(t):
     return providers.flatten_phone_owner(latest_bodies(t.owner_landed, "phone_owner"), "request_key")
 
 
-MATCH_ROOT = ".".join(st.MATCH_PATH)
+MATCH_ROOT = ".".join(sb.MATCH_PATH)
 MATCH_FLAT = {
     **answered("match_landed"), **readable(rejects=("ErrorMessage",)),
-    "flat": f"select request_key, {columns(MATCH_ROOT, {n.lower() + '_': n for n in st.MATCH_NAMES})} from bodies where json_exists(j, '$.{MATCH_ROOT}.matchConfidence')",
+    "flat": f"select request_key, {columns(MATCH_ROOT, {n.lower() + '_': n for n in sb.MATCH_NAMES})} from bodies where json_exists(j, '$.{MATCH_ROOT}.matchConfidence')",
 }
 
 
 @query("flatten_person_match", oracle(
-    "select request_key, " + ", ".join(f"{n.lower()}_ as {n}" for n in st.MATCH_NAMES) + " from flat", "match_landed", **MATCH_FLAT))
+    "select request_key, " + ", ".join(f"{n.lower()}_ as {n}" for n in sb.MATCH_NAMES) + " from flat", "match_landed", **MATCH_FLAT))
 def _(t):
     return providers.flatten_person_match(latest_bodies(t.match_landed, "person_match"), "request_key")
 
 
 @query("flatten_person_detail", oracle(
-    "select " + columns("PersonDetailRequest", st.DETAIL_NAMES) + " from people", "detail_landed", **DETAIL_STEPS))
+    "select " + columns("PersonDetailRequest", sb.DETAIL_NAMES) + " from people", "detail_landed", **DETAIL_STEPS))
 def _(t):
     return providers.flatten_person_detail(_all_details(t))
 
 
 def _domain_columns() -> str:
     out = []
-    for group, names in st.DOMAIN_GROUPS.items():
+    for group, names in sb.DOMAIN_GROUPS.items():
         for n in names:
             clean = "as_is" if n == "indexedAt" else "null_text"
             out.append(f"{at(f'{group}.{n}' if group else n, clean)} as {group}{'type1' if n == 'type' else n}")
@@ -788,7 +789,7 @@ def _(t):
     return _log(phone_candidates(t))
 
 
-PHONE_NAMES = ", ".join(st.PHONE_VERDICT_NAMES)
+PHONE_NAMES = ", ".join(sb.PHONE_VERDICT_NAMES)
 PHONE_LANDED = {
     "keyed": f"select *, {st.COUNTRY_PHONE_KEY.replace('number', 'standardised_phone_number')} as request_key from candidates",
     "staged": f"select distinct standardised_phone_number, country_code, {PHONE_NAMES}, person_phone_key, '{RUN_TS}' as phone_verification_date "
@@ -823,7 +824,7 @@ ESCALATION = {
             f"(select person_phone_key from exchange_history where {SINCE.format('updated_date')})",
     **renamed(EXCHANGE_FLAT, "2"),
 }
-EXCHANGE_COLUMNS = [*st.EXCHANGE_NAMES, *st.PORTED_NAMES, "NoteCodes", "NoteDescriptions"]
+EXCHANGE_COLUMNS = [*sb.EXCHANGE_NAMES, *sb.PORTED_NAMES, "NoteCodes", "NoteDescriptions"]
 
 
 @query("phone_escalation", oracle(
@@ -858,7 +859,7 @@ REVERSE_STEPS = {
     **standardised("asked", "telephone_number", None),
 }
 REVERSE_LANDED = {
-    "staged": f"select distinct standardised_phone_number, {', '.join(st.REVERSE_NAMES)}, person_phone_key, '{RUN_TS}' as phone_verification_date from flat "
+    "staged": f"select distinct standardised_phone_number, {', '.join(sb.REVERSE_NAMES)}, person_phone_key, '{RUN_TS}' as phone_verification_date from flat "
               "join std on request_key = concat('Action=Check&PhoneNumber=', standardised_phone_number, '&outputFormat=json')",
 }
 
@@ -869,13 +870,13 @@ def reverse_staged(t: Tables) -> DataFrame:
 
 
 @query("reverse_lookup", oracle(
-    f"select {', '.join(st.REVERSE_NAMES)}, person_phone_key, phone_verification_date from staged", *REVERSE_TABLES, "reverse_landed",
+    f"select {', '.join(sb.REVERSE_NAMES)}, person_phone_key, phone_verification_date from staged", *REVERSE_TABLES, "reverse_landed",
     **REVERSE_STEPS, **REVERSE_FLAT, **REVERSE_LANDED))
 def _(t):
     return written_at(reverse_staged(t), phones.DATE)
 
 
-OWNER_COLUMNS = [f"Provider{n}" for n in st.PROVIDER_NAMES] + [f"Contacts{n}" for n in st.CONTACT_NAMES] + st.OWNER_NAMES
+OWNER_COLUMNS = [f"Provider{n}" for n in sb.PROVIDER_NAMES] + [f"Contacts{n}" for n in sb.CONTACT_NAMES] + sb.OWNER_NAMES
 REVERSE_ESCALATION = {
     "hits": "select person_phone_key, PhoneNumber as telephone_number from staged where (contains(Results, 'PS02') or contains(Results, 'PS16')) "
             f"and person_phone_key not in (select person_phone_key from exchange_history where {SINCE.format('updated_date')})",
@@ -898,7 +899,7 @@ MATCH_STEPS = {
     "owners": "select distinct b.person_key, first_name, last_name, email_address from batch b join person_email e on b.person_key = e.person_key "
               f"where {IN_MONTH.format('person_updated_date')} and b.person_key not in (select person_key from bridged_person)",
     **MATCH_FLAT,
-    "matched": "select first_name, last_name, email_address, person_key, " + ", ".join(f"{n.lower()}_ as {n}" for n in st.MATCH_NAMES if n not in ("firstName", "lastName"))
+    "matched": "select first_name, last_name, email_address, person_key, " + ", ".join(f"{n.lower()}_ as {n}" for n in sb.MATCH_NAMES if n not in ("firstName", "lastName"))
                + ", firstname_, lastname_ from owners join flat on request_key = "
                "concat('emailAddress=', url_encode(email_address), '&firstname=', first_name, '&lastName=', last_name, '&outputFormat=json')",
 }
@@ -928,7 +929,7 @@ DETAIL_OF_MATCH = {
 
 
 @query("person_detail", oracle(
-    "select " + columns("PersonDetailRequest", st.DETAIL_NAMES) + " from people", *MATCH_TABLES, "enriched_person", "detail_landed", **DETAIL_OF_MATCH))
+    "select " + columns("PersonDetailRequest", sb.DETAIL_NAMES) + " from people", *MATCH_TABLES, "enriched_person", "detail_landed", **DETAIL_OF_MATCH))
 def _(t):
     matches = persons.person_matches(match_owners(t), t.match_landed)
     ids = persons.detail_ids(matches, t.enriched_person, RUN_DATE, DAYS)
