@@ -837,19 +837,22 @@ def _(t):
     )
 
 
+BRANCH_STAGED = "select cast(length(request_key) as bigint) as person_phone_key, PhoneNumber, Results from flat"
+
+
 @query("branch_if_any", oracle(
     f"select distinct {', '.join('f.' + c for c in EXCHANGE_COLUMNS)}, h.person_phone_key, '{RUN_TS}' as phone_verification_date from hits h "
     "join flat2 f on f.request_key = concat('PhoneNumber=', h.PhoneNumber, '&outputFormat=json')",
-    "phone_landed", "exchange_landed", "exchange_history", "numbers", **PHONE_FLAT,
-    staged="select request_key as person_key, cast(length(request_key) as bigint) as person_phone_key, PhoneNumber, Results from flat where contains(Results, 'PS99')",
-    **ESCALATION))
+    "phone_landed", "exchange_landed", "exchange_history", **PHONE_FLAT, staged=BRANCH_STAGED, **ESCALATION))
 def _(t):
-    # No staged verdict has this code: the second provider's branch gives no rows, and nothing is counted to find out.
     flat = providers.flatten_phone_verdict(latest_bodies(t.phone_landed, "phone"), "request_key")
-    staged = flat.where(F.col("Results").contains("PS99")).withColumn("person_phone_key", F.length("request_key").cast("bigint"))
-    return written_at(
-        phones.phone_escalation(staged, t.exchange_history, t.exchange_landed, RUN_DATE, DAYS, run_ts=RUN_TS), phones.DATE
-    )
+    staged = flat.withColumn("person_phone_key", F.length("request_key").cast("bigint"))
+    # The first set has no escalation code at all: its branch adds no rows, and nothing is counted to find out.
+    branches = [
+        phones.phone_escalation(rows, t.exchange_history, t.exchange_landed, RUN_DATE, DAYS, run_ts=RUN_TS)
+        for rows in (staged.where(~phones.escalates(F.col("Results"))), staged)
+    ]
+    return written_at(branches[0].unionByName(branches[1]), phones.DATE)
 
 
 REVERSE_TABLES = ("batch", "person_phone", "reverse_history")
