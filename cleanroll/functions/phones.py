@@ -1,7 +1,8 @@
 """Phone numbers brought to national digits by a numbering plan.
 
-A plan is a short list of regions held in code, so it becomes literal branches of
-one column expression: no join, no broadcast and no Python per row.
+A plan is a short list of regions held in code. It becomes literal patterns over the
+text `region:digits`, each compiled once: no join, no broadcast, no Python per row,
+and an expression small enough for the JVM to compile.
 """
 
 from __future__ import annotations
@@ -47,43 +48,37 @@ PLAN = (
 )
 
 
-def _lookup(entries: dict[str, Column], key: Column) -> Column:
-    """The entry of `key`, NULL if there is none; the entries fold into one literal map."""
-    pairs = [part for name, value in entries.items() for part in (F.lit(name), value)]
-    return F.try_element_at(F.create_map(*pairs), key)
+def _rest(least: int, most: int) -> str:
+    """Looks ahead: the remaining digits are `least` to `most`."""
+    return f"(?=[0-9]{{{least},{most}}}$)"
 
 
-def _rules(entry: Region) -> Column:
-    return F.struct(
-        F.lit(entry.calling_code).alias("code"),
-        F.lit(entry.trunk).alias("trunk"),
-        F.lit(entry.min_len).alias("least"),
-        F.lit(entry.max_len).alias("most"),
-        F.lit(entry.pattern).alias("pattern"),
-    )
+def _prefix_at_home(r: Region) -> str:
+    """What is stripped from a number written inside its region.
 
+    The trunk prefix, when a national length remains; else the region's own calling
+    code, when the digits are too many for a national number and fit without it.
+    """
+    code = f"{r.calling_code}{_rest(max(r.min_len, r.max_len - len(r.calling_code) + 1), r.max_len)}"
+    return f"(?:{r.trunk}{_rest(r.min_len, r.max_len)}|{code})?" if r.trunk else f"(?:{code})?"
 
-def _fits(digits: Column, prefix: Column, rules: Column) -> Column:
-    """Does `digits` start with a non-empty `prefix` and have a length of the region after it?"""
-    rest = F.length(digits) - F.length(prefix)
-    return (prefix != "") & digits.startswith(prefix) & rest.between(rules["least"], rules["most"])
 
+def _prefix_abroad(r: Region) -> str:
+    """The calling code, and a trunk digit that is written all the same: "+44 (0)20 ..."."""
+    doubled = f"(?:{r.trunk}{_rest(r.min_len, r.max_len)})?" if r.trunk not in ("", r.calling_code) else ""
+    return f"{r.calling_code}{doubled}"
 
-def _after(digits: Column, prefix: Column) -> Column:
-    return digits.substr(F.length(prefix) + 1, F.lit(MAX_DIGITS))
 
+def _branches(plan: Sequence[Region]) -> list[tuple[str, Region]]:
+    """`tag:prefix` of each way to write a number, with its region. `+` tags a number written for abroad.
 
-def _national(digits: Column, abroad: Column, rules: Column) -> Column:
-    code, trunk = rules["code"], rules["trunk"]
-    # "+44 (0)20 ...": the trunk digit is written although the calling code is there.
-    doubled = F.when(trunk != code, F.concat(code, trunk)).otherwise("")
-    outside = F.when(_fits(digits, doubled, rules), _after(digits, doubled)).otherwise(_after(digits, code))
-    local = (
-        F.when(_fits(digits, trunk, rules), _after(digits, trunk))
-        .when((F.length(digits) > rules["most"]) & _fits(digits, code, rules), _after(digits, code))
-        .otherwise(digits)
-    )
-    return F.when(rules.isNull(), digits).when(abroad, outside).otherwise(local)
+    Regions sharing a calling code share the first one's rules; longer codes come first.
+    """
+    by_code: dict[str, Region] = {}
+    for r in plan:
+        by_code.setdefault(r.calling_code, r)
+    abroad = sorted(by_code.values(), key=lambda r: -len(r.calling_code))
+    return [(rf"\+:{_prefix_abroad(r)}", r) for r in abroad] + [(f"{r.region}:{_prefix_at_home(r)}", r) for r in plan]
 
 
 def standardise(
@@ -98,41 +93,35 @@ def standardise(
     A number that starts with `+` is read by its longest known calling code. Any
     other number belongs to `country` (`default` where NULL): its own calling code
     or trunk prefix is stripped when what remains has a length of that region.
-    Numbers that cannot be read drop out; invalid numbers stay, flagged `false`.
+    Leading zeros carry no meaning in a national number and go too. Numbers that
+    cannot be read drop out; invalid numbers stay, flagged `false`.
     """
-    if len(plan) > MAX_REGIONS:
-        raise ValueError(f"a plan holds at most {MAX_REGIONS} regions")
-    digits, abroad, rules = F.col("_digits"), F.col("_abroad"), F.col("_rules")
-    home = F.coalesce(F.col(country), F.lit(default)) if country else F.lit(default)
-
-    # Regions sharing a calling code share the first one's rules.
-    by_code: dict[str, Region] = {}
-    for entry in plan:
-        by_code.setdefault(entry.calling_code, entry)
-    named = {code: F.lit(entry.region) for code, entry in by_code.items()}
-    sizes = sorted({len(code) for code in by_code}, reverse=True)
-    called = F.coalesce(*[_lookup(named, F.substring(digits, 1, n)) for n in sizes])
+    if len(plan) > MAX_REGIONS or not all(r.region.isalnum() for r in plan):
+        raise ValueError(f"a plan holds at most {MAX_REGIONS} regions with plain names")
+    branches = _branches(plan)
+    strip = rf"\A(?:{'|'.join(prefix for prefix, _ in branches)}|[^:]*:)0*(?=[0-9])"
+    # Atomic groups: the prefix is settled before the pattern is tried, as in `strip`.
+    valid = rf"\A(?:{'|'.join(f'(?>{prefix}0*)(?:{r.pattern})' for prefix, r in branches)})\z"
 
-    read = (
+    home = F.coalesce(F.col(country), F.lit(default)) if country else F.lit(default)
+    tag = F.when(F.ltrim(F.col(number)).startswith("+"), F.lit("+")).otherwise(home)
+    tagged = (
         df.withColumn("_digits", F.regexp_replace(number, "[^0-9]", ""))
         .where(F.length("_digits").between(MIN_DIGITS, MAX_DIGITS))
-        .withColumn("_abroad", F.ltrim(F.col(number)).startswith("+"))
-        .withColumn("_region", F.when(abroad, called).otherwise(home))
-        .withColumn("_rules", _lookup({e.region: _rules(e) for e in plan}, F.col("_region")))
-        .withColumn("_national", _national(digits, abroad, rules))
-        # The national number is a number: leading zeros carry no meaning. It is never NULL here,
-        # and says so, or a later NULL test would pull the whole expression into a filter.
-        .withColumn("standardised_phone_number", F.coalesce(F.regexp_replace("_national", "^0+(?=[0-9])", ""), F.lit("")))
+        .withColumn("_tagged", F.concat_ws(":", tag, F.col("_digits")))
     )
-    # One branch per pattern keeps each pattern a literal, compiled once.
-    valid = F.lit(False)
-    for pattern in sorted({entry.pattern for entry in plan}):
-        matches = F.col("standardised_phone_number").rlike(rf"\A(?:{pattern})\z")
-        valid = F.when(rules["pattern"] == pattern, matches).otherwise(valid)
+    codes = sorted({r.calling_code for r in plan}, key=lambda c: -len(c))
+    # The calling code is the one written after "+:", or that of the region before the colon.
+    origin = F.regexp_extract("_tagged", rf"\A(?:\+:({'|'.join(codes)})|([^:]*))", 0)
+    called = [(F.lit(f"+:{code}"), F.lit(code)) for code in codes] + [(F.lit(r.region), F.lit(r.calling_code)) for r in plan]
+    calling = F.try_element_at(F.create_map(*[part for pair in called for part in pair]), origin)
     return (
-        read.withColumn("is_valid_flag", valid.cast("string"))
-        .withColumn("calling_code", rules["code"])
-        .drop("_digits", "_abroad", "_region", "_rules", "_national")
+        # `concat_ws` and so the number are never NULL, and Spark knows it: a later
+        # NULL test adds no second evaluation in a filter.
+        tagged.withColumn("standardised_phone_number", F.coalesce(F.regexp_replace("_tagged", strip, ""), F.lit("")))
+        .withColumn("is_valid_flag", F.col("_tagged").rlike(valid).cast("string"))
+        .withColumn("calling_code", calling)
+        .drop("_digits", "_tagged")
     )
 
 

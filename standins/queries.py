@@ -14,7 +14,7 @@ from cleanroll.functions.phones import e164, standardise
 from cleanroll.operators import joins, providers, sets
 from cleanroll.operators.landing import land, standardisation_log
 from cleanroll.plans import addresses, audit, domains, emails, persons, phones
-from cleanroll.session import scratch_root
+from cleanroll.session import scratch_root, stage
 from cleanroll.sinks import ParquetSink, append_all, by_name
 from cleanroll.sources.answers import answers, latest_bodies
 from cleanroll.sources.settings import settings_table
@@ -708,7 +708,7 @@ EMAIL_LANDED = {
 
 
 def email_staged(t: Tables) -> DataFrame:
-    owners = email_owners(t)
+    owners = stage(email_owners(t), "email_owners")
     verdicts = emails.email_verdicts(emails.email_candidates(owners, t.junk), t.email_landed)
     return emails.email_landing(verdicts, owners, RUN_TS)
 
@@ -723,7 +723,7 @@ def _(t):
     f"from (select distinct Email as email_address, person_key, person_email_key from staged where StatusNbr = '220' and Code = '222') s "
     f"join flat n on n.request_key = {st.EMAIL_KEY}", *EMAIL_TABLES, "email_landed", **EMAIL_OWNERS, **EMAIL_FLAT, **EMAIL_LANDED))
 def _(t):
-    return written_at(emails.email_rerun(email_staged(t), t.email_landed, run_ts=RUN_TS), emails.DATE)
+    return written_at(emails.email_rerun(stage(email_staged(t), "email_verdicts"), t.email_landed, run_ts=RUN_TS), emails.DATE)
 
 
 @query("candidate_funnel", oracle(
@@ -798,7 +798,7 @@ PHONE_LANDED = {
 
 
 def phone_staged(t: Tables) -> DataFrame:
-    candidates = phone_candidates(t)
+    candidates = stage(phone_candidates(t), "phone_candidates")
     return phones.phone_landing(phones.phone_verdicts(candidates, t.phone_landed), candidates, RUN_TS)
 
 
@@ -833,7 +833,7 @@ EXCHANGE_COLUMNS = [*sb.EXCHANGE_NAMES, *sb.PORTED_NAMES, "NoteCodes", "NoteDesc
     *PHONE_TABLES, "phone_landed", "exchange_landed", **PHONE_STEPS, **PHONE_FLAT, **PHONE_LANDED, **ESCALATION))
 def _(t):
     return written_at(
-        phones.phone_escalation(phone_staged(t), t.exchange_history, t.exchange_landed, RUN_DATE, DAYS, run_ts=RUN_TS), phones.DATE
+        phones.phone_escalation(stage(phone_staged(t), "phone_verdicts"), t.exchange_history, t.exchange_landed, RUN_DATE, DAYS, run_ts=RUN_TS), phones.DATE
     )
 
 
@@ -868,7 +868,7 @@ REVERSE_LANDED = {
 
 
 def reverse_staged(t: Tables) -> DataFrame:
-    candidates = phones.reverse_candidates(t.batch, t.person_phone, t.reverse_history, RUN_DATE, DAYS)
+    candidates = stage(phones.reverse_candidates(t.batch, t.person_phone, t.reverse_history, RUN_DATE, DAYS), "reverse_candidates")
     return phones.reverse_lookup(candidates, t.reverse_landed, run_ts=RUN_TS)
 
 
@@ -893,7 +893,7 @@ REVERSE_ESCALATION = {
     "join flat3 on request_key = concat('PhoneNumber=', standardised_phone_number, '&TestType=FULL&outputFormat=json')",
     *REVERSE_TABLES, "reverse_landed", "owner_landed", "exchange_history", **REVERSE_STEPS, **REVERSE_FLAT, **REVERSE_LANDED, **REVERSE_ESCALATION))
 def _(t):
-    candidates = phones.reverse_escalation_candidates(reverse_staged(t), t.exchange_history, RUN_DATE, DAYS)
+    candidates = stage(phones.reverse_escalation_candidates(reverse_staged(t), t.exchange_history, RUN_DATE, DAYS), "reverse_escalation")
     return written_at(phones.reverse_escalation(candidates, t.owner_landed, run_ts=RUN_TS), phones.DATE)
 
 
@@ -916,7 +916,7 @@ def match_owners(t: Tables) -> DataFrame:
 @query("person_match", oracle(
     "select * exclude (firstname_, lastname_), firstname_ as firstName, lastname_ as lastName from matched", *MATCH_TABLES, **MATCH_STEPS))
 def _(t):
-    owners = match_owners(t)
+    owners = stage(match_owners(t), "match_owners")
     return persons.person_match(persons.person_matches(owners, t.match_landed), owners)
 
 

@@ -219,24 +219,25 @@ def _spark_sql(sf_dir: str, name: str) -> str:
     return _BASE.sub(files, f"with {with_} select * from {name}")
 
 
-_LANDED: dict[tuple[str, str, str], str] = {}
+# Contacts and responses are stored tables in real life: Spark writes them to the shared folder on
+# first use in a session, and the queries scan them there.
+STORED = {"person_email", "enrichment_email", "person_phone", "enrichment_phone"}
+_WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
 def standin(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One role table as a DataFrame over the parquet files of `sf_dir`.
-
-    Landed responses are a stored table in real life, so Spark writes them to the
-    shared folder on first use and later reads scan that table.
-    """
+    """One role table as a DataFrame over the parquet files of `sf_dir`."""
     sf_dir = sf_dir.rstrip("/")
-    if not name.endswith("_landed"):
+    if name not in STORED and not name.endswith("_landed"):
         return spark.sql(_spark_sql(sf_dir, name))
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _LANDED:
+    if key not in _WRITTEN:
         path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-        spark.sql(_spark_sql(sf_dir, name)).write.parquet(path)
-        _LANDED[key] = path
-    return spark.read.parquet(_LANDED[key])
+        # Several files, as a stored table has: the given ones are single files and would be read by one task.
+        files = spark.sparkContext.defaultParallelism
+        spark.sql(_spark_sql(sf_dir, name)).repartition(files).write.parquet(path)
+        _WRITTEN[key] = path
+    return spark.read.parquet(_WRITTEN[key])
 
 
 def oracle(body: str, *names: str, **extra: str) -> str:
