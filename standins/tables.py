@@ -110,9 +110,10 @@ _CUT = (
 
 TABLES: dict[str, str] = {
     # persons and emails
-    "batch": "select o_custkey as person_key, split_part(c_name, '#', 1) as first_name, "
-             "case when c_custkey % 29 = 0 then null else split_part(c_name, '#', 2) end as last_name, "
-             "o_orderdate as person_updated_date from @orders join @customer on o_custkey = c_custkey",
+    "person": "select c_custkey as person_key, split_part(c_name, '#', 1) as first_name, "
+              "case when c_custkey % 29 = 0 then null else split_part(c_name, '#', 2) end as last_name, "
+              "max(o_orderdate) as person_updated_date from @orders join @customer on o_custkey = c_custkey group by c_custkey, c_name",
+    "batch": "select * from person union all select * from person where person_key % 10 = 0",
     "person_email": f"select o_orderkey as person_email_key, o_custkey as person_key, {email_of('o_custkey', 'o_orderkey')} as email_address, "
                     "o_orderdate as updated_date from @orders",
     "email_batch": "select l_orderkey as person_email_key from @lineitem where l_returnflag <> 'A'",
@@ -154,9 +155,9 @@ TABLES: dict[str, str] = {
     "exchange_landed": landed("phone_exchange", "numbers", "number", PHONE_KEY, FETCHED),
     "reverse_landed": landed("phone_reverse", "numbers", "number", REVERSE_KEY, FETCHED),
     "owner_landed": landed("phone_owner", "numbers", "number", OWNER_KEY, FETCHED),
-    "match_keys": "select first_name, last_name, email_address, person_updated_date from batch join person_email "
-                  "on batch.person_key = person_email.person_key and person_updated_date = updated_date where email_address is not null and last_name is not null",
-    "match_landed": landed("person_match", "match_keys", "email_address", MATCH_KEY, "person_updated_date", PERSON_ID),
+    "match_keys": "select first_name, last_name, email_address, updated_date from person join person_email "
+                  "on person.person_key = person_email.person_key where email_address is not null and last_name is not null",
+    "match_landed": landed("person_match", "match_keys", "email_address", MATCH_KEY, "updated_date", PERSON_ID),
     "person_ids": f"select distinct {PERSON_ID} as person_id from person_email where email_address is not null",
     "detail_landed": landed("person_detail", "person_ids", "person_id", DETAIL_KEY, FETCHED),
     "enriched_person": f"select {PERSON_ID} as person_id, updated_date from person_email where person_email_key % 7 = 0 and email_address is not null",
