@@ -162,8 +162,8 @@ TABLES: dict[str, str] = {
     "detail_landed": landed("person_detail", "person_ids", "person_id", DETAIL_KEY, FETCHED),
     "enriched_person": f"select {PERSON_ID} as person_id, updated_date from person_email where person_email_key % 7 = 0 and email_address is not null",
     "bridged_person": "select c_custkey as person_key from @customer where c_custkey % 4 = 0 union all select c_custkey from @customer where c_custkey % 8 = 0",
-    "websites": f"select {HOST} as website from @pages union all select null from @region",
-    "known_domains": f"select {HOST} as domain from @pages where page_id % 3 = 0 union all select null from @nation",
+    "websites": f"select {HOST} as website from @pages union all select case when r_regionkey < 0 then r_name end from @region",
+    "known_domains": f"select {HOST} as domain from @pages where page_id % 3 = 0 union all select case when n_nationkey < 0 then n_name end from @nation",
     "all_websites": "select website from websites where website is not null union select domainpart from email_history union "
                     "select domainpart from enrichment_email_history",
     "domain_landed": landed("domain", "all_websites", "website", DOMAIN_KEY, FETCHED),
