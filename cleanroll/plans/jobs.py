@@ -10,11 +10,12 @@ import datetime as dt
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from cleanroll.functions.periods import DAY, MONTH
 from cleanroll.functions.phones import PLAN
 from cleanroll.operators.landing import standardisation_log
+from cleanroll.operators.sets import candidate_funnel, distinct_keys
 from cleanroll.plans import addresses, audit, domains, emails, persons, phones
 from cleanroll.session import stage
 from cleanroll.sinks import TableSink, append_all
@@ -52,6 +53,12 @@ class Run:
         return self.source.table(f"{name}_{'monthly' if self.grain == MONTH else 'daily'}")
 
 
+def _funnel(run: Run, **stages: DataFrame) -> Outputs:
+    """Rows left after each stage, counted on what is staged already."""
+    counted = candidate_funnel(stages).withColumn("instance_name", F.lit(run.instance))
+    return {"run_funnel": counted.select("instance_name", "stage", "rows")}
+
+
 def email_verification(run: Run) -> Outputs:
     owners = stage(
         emails.email_owners(
@@ -76,9 +83,10 @@ def email_verification_enriched(run: Run) -> Outputs:
 
 
 def _land_emails(run: Run, owners: DataFrame, target: str) -> Outputs:
-    wanted = emails.email_candidates(owners, run.table("junk_email"), run.max_requests)
+    wanted = stage(emails.email_candidates(owners, run.table("junk_email"), run.max_requests), "email_candidates")
     verdicts = emails.email_verdicts(wanted, run.landed(), run.email_timeout, run.fetched_since)
-    return {target: emails.email_landing(verdicts, owners, run.run_ts)}
+    landed = emails.email_landing(verdicts, owners, run.run_ts)
+    return {target: landed, **_funnel(run, owners=owners, candidates=wanted)}
 
 
 def _rerun(staging: str) -> Callable[[Run], Outputs]:
@@ -108,6 +116,7 @@ def phone_hygiene(run: Run) -> Outputs:
         "phone_standardisation_history": standardisation_log(candidates, run.user, run.run_ts),
         "person_phone_verification_staging": staged,
         "phone_exchange_staging": escalated,
+        **_funnel(run, candidates=candidates, requests=distinct_keys(candidates, phones.NUMBER, "country_code"), verdicts=staged),
     }
 
 
@@ -172,7 +181,11 @@ def person_enrichment(run: Run) -> Outputs:
     matches = stage(persons.person_matches(owners, run.landed(), run.max_requests, run.fetched_since), "person_matches")
     ids = persons.detail_ids(matches, run.table("enrichment_person"), run.run_date, run.days["person_detail"])
     details = persons.person_details(ids, run.landed(), run.max_requests, run.fetched_since)
-    return {"person_match": persons.person_match(matches, owners), **persons.person_detail(details)}
+    return {
+        "person_match": persons.person_match(matches, owners),
+        **persons.person_detail(details),
+        **_funnel(run, owners=owners, requests=distinct_keys(owners, *persons.NAME_AND_EMAIL), matches=matches),
+    }
 
 
 def person_detail_bulk(run: Run) -> Outputs:

@@ -105,6 +105,7 @@ def world(spark, tmp_path):
 def test_email_verification_and_rerun(world):
     world.run("email_verification")
     assert world.rows("person_email_verification_staging", "Email", "person_key", "person_email_key") == [("ann@x.co", 1, 1)]
+    assert world.rows("run_funnel") == [("i1", "candidates", 2), ("i1", "owners", 2)]
     world.run("email_rerun")
     assert world.rows("person_email_verification_staging_rerun", "Email", "person_key") == [("ann@x.co", 1)]
     assert world.rows("run_log", "batch_id", "status", "entity_detail_key") == sorted([(42, "ended", "7"), (42, "started", "7")] * 2)
