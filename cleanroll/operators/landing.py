@@ -35,6 +35,7 @@ def land(
     pass over the wide result. Columns named in `null_safe` match NULL to NULL; the
     others never match NULL.
     """
+    verdicts = own_shuffle(verdicts)
     asked = owners.select(*on, *[k for k in keep if k not in on]).distinct()
     right = own_shuffle(asked.select(*[F.col(c).alias(f"_{c}") if c in on else F.col(c) for c in asked.columns]))
     terms = [verdicts[c].eqNullSafe(F.col(f"_{c}")) if c in null_safe else verdicts[c] == F.col(f"_{c}") for c in on]

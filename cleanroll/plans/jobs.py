@@ -242,7 +242,7 @@ def run_job(name: str, run: Run, entity: str) -> None:
         rows = audit.audit_rows(
             run.table("run_master"), run.table("entity_detail"), entity, run.instance, status, run.user, run.run_ts
         )
-        run.sink.append(rows, "run_log")
+        run.sink.log(rows, "run_log")
 
     log(audit.STARTED)
     try:

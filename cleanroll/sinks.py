@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 class TableSink(Protocol):
     def append(self, df: DataFrame, name: str) -> None: ...
 
+    def log(self, df: DataFrame, name: str) -> None:
+        """Append rows that a rerun must not replace."""
+
 
 def by_name(df: DataFrame, columns: list[str]) -> DataFrame:
     """`df` in the target's column order; a missing or surplus column is an error."""
@@ -24,8 +27,8 @@ def by_name(df: DataFrame, columns: list[str]) -> DataFrame:
 class ParquetSink:
     """Appends to `<root>/<name>`. Appending an empty result adds no rows, so no count is needed.
 
-    With a `run` the rows land in their own `run_id=` partition, which a rerun
-    overwrites instead of appending a second copy.
+    With a `run`, one name per job and batch, the rows land in their own `run_id=`
+    partition, which a rerun overwrites instead of appending a second copy.
     """
 
     spark: SparkSession
@@ -36,9 +39,12 @@ class ParquetSink:
     def path(self, name: str) -> str:
         return f"{self.root}/{self.names.get(name, name)}"
 
+    def log(self, df: DataFrame, name: str) -> None:
+        df.write.mode("append").parquet(self.path(name))
+
     def append(self, df: DataFrame, name: str) -> None:
         if self.run is None:
-            df.write.mode("append").parquet(self.path(name))
+            self.log(df, name)
             return
         (
             df.withColumn("run_id", F.lit(self.run))
@@ -70,6 +76,8 @@ class JdbcSink:
     def append(self, df: DataFrame, name: str) -> None:
         df.write.format("jdbc").mode("append").options(**self.options(name)).save()
 
+    log = append
+
 
 def append_all(outputs: Mapping[str, DataFrame], sink: TableSink) -> None:
     """Append each named output to its table."""

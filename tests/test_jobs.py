@@ -90,9 +90,9 @@ def world(spark, tmp_path):
     ).write.parquet(f"{tmp_path}/landed_responses")
 
     class World:
-        def run(self, job, instance="i1"):
+        def run(self, job, instance="i1", rerun=None):
             run = jobs.Run(
-                ParquetTables(spark, str(tmp_path), suffix=""), ParquetSink(spark, str(tmp_path)), "2024-01-20", DAYS, "me", instance, run_ts=NOW
+                ParquetTables(spark, str(tmp_path), suffix=""), ParquetSink(spark, str(tmp_path), run=rerun), "2024-01-20", DAYS, "me", instance, run_ts=NOW
             )
             jobs.run_job(job, run, "e")
 
@@ -160,3 +160,11 @@ def test_nothing_is_asked_twice_within_the_cool_down(spark, world, tmp_path):
     before = world.rows("person_email_verification_staging")
     world.run("email_verification", "i2")
     assert world.rows("person_email_verification_staging") == before
+
+
+def test_a_rerun_under_the_same_name_replaces_its_rows_and_keeps_the_log(world):
+    for _ in range(2):
+        world.run("domain_enrichment", rerun="domains_2024-01-20")
+    assert world.rows("domain", "id") == [("d1",)]
+    assert len(world.rows("domain_tags")) == 2
+    assert world.rows("run_log", "status") == sorted([("started",), ("ended",)] * 2)

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 from cleanroll.functions.periods import changed_in, since
 from cleanroll.operators import joins, sets
+from cleanroll.operators.landing import land
+from cleanroll.operators.providers import flatten_phone_verdict
 from cleanroll.plans import emails
+from cleanroll.sources.answers import answers
 
 ROOT = Path(__file__).resolve().parent.parent
 SF = "/root/testdata/sf0.001"
@@ -102,6 +105,23 @@ def test_a_hot_country_and_address_are_split_in_the_chain(spark, no_broadcast):
     assert was_split and rows == 200_000
 
 
+def test_a_shared_mailbox_is_split_on_landing(spark, no_broadcast):
+    owners = spark.range(0, 300_000, 1, 16).select(
+        F.concat(F.lit("m"), F.expr(HOT)).alias("email_address"), F.col("id").alias("person_email_key")
+    )
+    verdicts = owners.select("email_address").distinct().withColumn("Code", F.lit("222"))
+    was_split, rows = split(land(verdicts, owners, ["email_address"], ["person_email_key"]))
+    assert was_split and rows == 300_000
+
+
+def test_a_body_is_parsed_once_and_only_after_the_join_that_wants_it(spark, table):
+    keys = table([("a",)], "request_key string")
+    landed = table([("p", "a", 200, "{}", "2024")], "provider string, request_key string, status int, body string, fetched_at string")
+    text = plan(flatten_phone_verdict(answers(keys, landed, "p"), "request_key"))
+    assert text.count("from_json") == 1
+    assert text.index("from_json") < text.index("Join")
+
+
 def test_the_library_never_collects_or_forces_a_broadcast():
     for path in (ROOT / "cleanroll").rglob("*.py"):
         source = path.read_text()
