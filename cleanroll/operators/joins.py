@@ -24,11 +24,12 @@ def resolve_country(phones: DataFrame, bridge: DataFrame, address: DataFrame, sy
     """`phones` plus `address_key`, `country` and `country_code`, one row per address of the person.
 
     The chain starts at the phones of the batch, usually the smallest side, and drops
-    everyone without an address or with an unknown country.
+    everyone without an address or with an unknown country. Each join has both sides
+    straight from a shuffle, so a hot person, address or country is split.
     """
     names = synonyms.select(F.col("country_synonym").alias("country"), "country_code")
     return (
-        phones.join(bridge.select("address_key", "person_key"), "person_key")
+        own_shuffle(phones).join(bridge.select("address_key", "person_key"), "person_key")
         .join(address.select("address_key", "country"), "address_key")
         .join(names, "country")
     )

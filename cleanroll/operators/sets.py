@@ -49,16 +49,35 @@ def union_histories(*histories: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, histories)
 
 
-def not_recent(
-    df: DataFrame, key: str, *histories: DataFrame, run_date, days: int, ts_col: str = "updated_date"
+def recent_keys(
+    key: str, *histories: DataFrame, run_date, days: int, ts_col: str = "updated_date"
 ) -> DataFrame:
-    """Rows whose key was not seen in any history since `run_date + days`.
+    """The keys of all histories since `run_date + days`, with repeats.
 
     Each history has `key` and `ts_col`. The date filter runs on each history before
     the union, so it reaches every scan.
     """
-    recent = union_histories(*[since(h.select(key, ts_col), ts_col, run_date, days).select(key) for h in histories])
-    return not_in(df, key, recent)
+    return union_histories(*[since(h.select(key, ts_col), ts_col, run_date, days).select(key) for h in histories])
+
+
+def not_recent(
+    df: DataFrame, key: str, *histories: DataFrame, run_date, days: int, ts_col: str = "updated_date"
+) -> DataFrame:
+    """Rows whose key was not seen in any history since `run_date + days`."""
+    return not_in(df, key, recent_keys(key, *histories, run_date=run_date, days=days, ts_col=ts_col))
+
+
+def due_keys(
+    batch: DataFrame, key: str, *histories: DataFrame, run_date, days: int, ts_col: str = "updated_date"
+) -> DataFrame:
+    """The distinct non-NULL keys of a batch that were not seen since `run_date + days`.
+
+    Both sides are distinct on the join key, so they meet without another shuffle
+    and the master rows then need one semi join instead of a semi and an anti join.
+    """
+    recent = recent_keys(key, *histories, run_date=run_date, days=days, ts_col=ts_col)
+    asked = batch.select(key).where(F.col(key).isNotNull()).distinct()
+    return asked.join(recent.where(F.col(key).isNotNull()).distinct(), key, "left_anti")
 
 
 def minus_distinct(df: DataFrame, other: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from cleanroll.functions.periods import DAY, changed_in
 from cleanroll.functions.text import email_request
 from cleanroll.operators.landing import land
 from cleanroll.operators.providers import flatten_email_verdict
-from cleanroll.operators.sets import cap, distinct_keys, minus_distinct, not_recent, only_in
+from cleanroll.operators.sets import cap, distinct_keys, due_keys, minus_distinct, only_in
 from cleanroll.sources.answers import answers
 
 PROVIDER = "email"
@@ -27,8 +27,8 @@ def email_owners(batch: DataFrame, emails: DataFrame, history: DataFrame, run_da
     """
     master = emails.select("person_key", "email_address", "person_email_key", "updated_date")
     changed = changed_in(master, "updated_date", run_date, grain).where(valid_email(F.col("email_address")))
-    owners = only_in(changed, "person_email_key", batch)
-    return not_recent(owners, "person_email_key", history, run_date=run_date, days=days)
+    due = due_keys(batch, "person_email_key", history, run_date=run_date, days=days)
+    return only_in(changed, "person_email_key", due)
 
 
 def email_candidates(owners: DataFrame, junk: DataFrame, max_requests: int | None = None) -> DataFrame:
@@ -56,10 +56,10 @@ def enriched_email_owners(
     """
     key = F.col("enrichment_api_person_email_key").alias("person_email_key")
     changed = changed_in(enrichment_as_master(emails), "updated_date", run_date, grain)
-    owners = only_in(changed.where(valid_email(F.col("email_address"))), "person_email_key", batch.select(key))
-    return not_recent(
-        owners, "person_email_key", history, enriched_history.select(key, "updated_date"), run_date=run_date, days=days
+    due = due_keys(
+        batch.select(key), "person_email_key", history, enriched_history.select(key, "updated_date"), run_date=run_date, days=days
     )
+    return only_in(changed.where(valid_email(F.col("email_address"))), "person_email_key", due)
 
 
 def email_verdicts(candidates: DataFrame, landed: DataFrame, timeout: int = 30, fetched_since=None) -> DataFrame:

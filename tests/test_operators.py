@@ -25,6 +25,12 @@ def test_not_recent_keeps_multiplicity_and_drops_null_keys(spark, table):
     assert values(left) == [(1, "a"), (1, "a"), (4, "d")]
 
 
+def test_due_keys_are_the_distinct_keys_outside_the_cool_down(spark, table):
+    batch = table([(1,), (1,), (2,), (3,), (None,)], "k int")
+    old = history(spark, [(2, "2024-01-15 00:00:00"), (3, "2024-01-14 00:00:00"), (None, "2024-01-20 00:00:00")])
+    assert values(sets.due_keys(batch, "k", old, run_date="2024-01-30", days=-15)) == [(1,), (3,)]
+
+
 def test_kept_and_dropped_rows_make_up_the_input(spark):
     df = spark.range(0, 500).select((F.col("id") % 90).cast("int").alias("k"), "id")
     others = spark.range(0, 300, 7).select(F.col("id").cast("int").alias("k"))

@@ -90,6 +90,17 @@ def test_keys_are_combined_before_the_shuffle(spark, no_broadcast):
     assert "HashAggregate(keys=[" in before
 
 
+def test_master_rows_shuffle_once_for_batch_and_cool_down(spark, no_broadcast):
+    master = hot_rows(spark).select(F.col("k").alias("person_email_key"), F.col("v").alias("person_key")).withColumns(
+        {"email_address": F.lit("a@b.co"), "updated_date": F.lit("2001-07-05").cast("timestamp_ntz")}
+    )
+    batch = spark.range(0, 90_000, 1, 8).select(F.expr(HOT).alias("person_email_key"))
+    history = batch.where("person_email_key % 5 = 0").withColumn("updated_date", F.lit("2001-07-20").cast("timestamp_ntz"))
+    owners = emails.email_owners(batch, master, history, "2001-07-31", -15, "month")
+    assert plan(owners).count("Exchange") == 4
+    assert split(owners)[0]
+
+
 def test_a_hot_company_is_split_in_the_residual_join(spark, no_broadcast):
     ref = hot_rows(spark, 90_000)
     was_split, rows = split(joins.left_residual(hot_rows(spark), ref, ["k"], "v", "flag"))
