@@ -45,8 +45,7 @@ class Encoder:
         for u in units:
             if u is not None:
                 missing.update(u)
-        missing.difference_update(self.cache)
-        fresh = list(missing)
+        fresh = list(missing.difference(self.cache))  # looks up the few, not the whole cache
         ids = dict(zip(fresh, self._ids(fresh), strict=True))
         for unit, got in ids.items():
             if len(self.cache) >= CACHED_UNITS:
