@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cleanroll.llm import mixing, packing
+from cleanroll.llm import lines, mixing, near, packing, quality
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -17,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -26,8 +30,19 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op9_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.classes(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id", "keeper")
+
+
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.removed_spans(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op7_mixing": op7_mixing,
     "op8_packing": op8_packing,
+    "op9_near": op9_near,
+    "op10_lines": op10_lines,
 }
 ORACLES: dict[str, str] = {"op7_mixing": mixing.ORACLE}
