@@ -184,28 +184,43 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.select("node", "label")
 
 
-def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    return members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-
-
 def links(nodes: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """`node, label` of all nodes that are similar to another one, directly or through others.
 
-    Members of a band are first held against its least node only. What that leaves in different components is held against
-    the rest of its band: a pair is skipped only where both are linked already, so no link is lost, and copies of
-    one text do not meet each other.
+    Members of a band are first held against its least node only. Bands that are then not of one component are held against
+    1, 4, 16 ... members drawn by hash, each time only where the labels differ. Once the pairs left between
+    components are no more than twice the members, all of them are tested. A pair is skipped only where both ends are
+    linked already, so no link is lost, and copies within one component never meet each other.
     """
     members = stage(band_members(nodes), "members")
-    star = stage(members.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct(), "star")
-    edges = stage(verified(star, texts, least), "linked")
-    labelled = stage(_labelled(members.select("band", "node"), components(edges)), "labelled")
-    counts = labelled.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
-    mixed_bands = counts.groupBy("band").agg(F.max(F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    split = stage(labelled.join(stage(mixed_bands.select("band", F.col("top.label").alias("top")), "split"), "band"), "rest")
-    odd = split.where("label <> top").select("band", F.col("node").alias("x"), F.col("label").alias("lx"))
-    rest = odd.join(split.select("band", F.col("node").alias("y"), F.col("label").alias("ly")), "band").where("lx <> ly")
-    pairs = rest.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
-    return components(edges.union(stage(verified(pairs, texts, least), "linked")))
+    pairs = stage(members.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
+    tested, edges, drawn = pairs, stage(verified(pairs, texts, least), "linked"), 1
+    while True:
+        labels = components(edges)
+        of_node = members.select("band", "node").join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
+        labelled = stage(of_node, "labelled")
+        counts = labelled.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
+        bands = counts.groupBy("band").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("k"))
+        uneven = stage(bands.where("k > 1").select("band", F.col("top.label").alias("top"), F.col("top.n").alias("most"), "all"), "uneven")
+        size = uneven.agg(F.sum("all"), F.sum((F.col("all") - F.col("most")) * F.col("all"))).first()
+        if size[0] is None:
+            return labels
+        split = stage(labelled.join(uneven.select("band", "top"), "band"), "split")
+        final = size[1] <= 2 * size[0] or drawn > 1024
+        if final:
+            odd = split.where("label <> top").select("band", F.col("node").alias("x"), F.col("label").alias("lx"))
+        else:
+            salt = F.pmod(F.xxhash64(F.lit(drawn), "node"), F.lit(drawn))
+            least_of = F.min(F.struct(F.xxhash64("node", F.lit(drawn)).alias("h"), "node", "label")).alias("c")
+            drawn_here = split.groupBy("band", salt.alias("salt")).agg(least_of)
+            odd = stage(drawn_here.select("band", F.col("c.node").alias("x"), F.col("c.label").alias("lx")), "drawn")
+        met = split.select("band", F.col("node").alias("y"), F.col("label").alias("ly")).join(odd, "band").where("lx <> ly")
+        fresh = met.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
+        fresh = stage(fresh, "pairs")
+        edges = edges.union(stage(verified(fresh, texts, least), "linked"))
+        if final:
+            return components(edges)
+        tested, drawn = tested.union(fresh), drawn * 4
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
