@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cleanroll.llm import lines, mixing, near, packing, quality
+from cleanroll.llm import ans, html, lines, mixing, near, packing, quality, warc
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -21,6 +21,19 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.archived(_table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(_table(spark, sf_dir, "pages"))
+
+
+def op4_ans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ans.stored(_table(spark, sf_dir, "documents"), WORD_BPE)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -40,9 +53,12 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_warc": op2_warc,
+    "op3_html": op3_html,
+    "op4_ans": op4_ans,
     "op7_mixing": op7_mixing,
     "op8_packing": op8_packing,
     "op9_near": op9_near,
     "op10_lines": op10_lines,
 }
-ORACLES: dict[str, str] = {"op7_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op2_warc": warc.ORACLE, "op7_mixing": mixing.ORACLE}

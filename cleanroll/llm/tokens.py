@@ -15,7 +15,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs one task
 UNIT = re.compile(r"[ \t\n\r\f\v]*[^ \t\n\r\f\v]+|[ \t\n\r\f\v]+")
 # Other white space may join an ASCII run into one token, and special tokens are found before any split: such texts
 # are encoded in one go.
-ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|<\|")
+ODD = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|<\|")
 LONGEST_UNIT = 64
 CACHED_UNITS = 500_000
 CHARS_AT_ONCE = 1_000_000
