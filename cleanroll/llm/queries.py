@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cleanroll.llm import ans, html, lines, mixing, near, packing, quality, warc
+from cleanroll.llm import ans, html, licenses, lines, mixing, near, packing, quality, rabitq, warc
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -34,6 +34,14 @@ def op4_ans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ans.stored(_table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op5_rabitq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rabitq.nearest(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text", "detections")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -56,9 +64,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op3_html": op3_html,
     "op4_ans": op4_ans,
+    "op5_rabitq": op5_rabitq,
+    "op6_licenses": op6_licenses,
     "op7_mixing": op7_mixing,
     "op8_packing": op8_packing,
     "op9_near": op9_near,
     "op10_lines": op10_lines,
 }
-ORACLES: dict[str, str] = {"op2_warc": warc.ORACLE, "op7_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op2_warc": warc.ORACLE, "op5_rabitq": rabitq.ORACLE, "op7_mixing": mixing.ORACLE}
