@@ -245,8 +245,8 @@ def links(nodes: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> Data
     members = stage(band_members(nodes), "members")
     company = members.groupBy("node").agg(F.sum("n").alias("company"))
     known = members.join(stage(company, "company"), "node")
-    centres = known.groupBy("band").agg(F.max(F.struct("company", "node")).alias("c")).select("band", F.col("c.node").alias("b"))
-    star = members.join(stage(centres, "centres"), "band").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+    centres = known.groupBy("band").agg(F.max(F.struct("company", "node")).alias("c")).select("band", F.col("c.node").alias("centre"))
+    star = members.join(stage(centres, "centres"), "band").where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
     edges = stage(verified(stage(star, "pairs"), texts, least), "linked")
     of_node = members.join(components(edges), "node", "left").select("b", "band", "n", "node", F.coalesce("label", "node").alias("label"))
     labelled = stage(of_node, "labelled")
