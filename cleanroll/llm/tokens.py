@@ -23,7 +23,7 @@ LETTERS, MARKS = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+", r"[!-&(-/:
 SPACED = re.compile(rf" ?{LETTERS}| ?{MARKS}| ?[0-9]+|[ \t\n\r\f\v]+(?![^ \t\n\r\f\v])|[ \t\n\r\f\v]+")
 SPACELESS = re.compile(rf"{LETTERS}|{MARKS}|[0-9]")
 LONGEST_UNIT = 64
-CACHED_UNITS = 800_000
+CACHED_UNITS = 350_000
 CHARS_AT_ONCE = 1_000_000
 UNITS_AT_ONCE = 2000
 
