@@ -190,14 +190,14 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def long_signatures(texts: DataFrame) -> DataFrame:
-    """`node, _long` of `node, text`."""
+    """`node, _long` of `node, text`; a byte of each place is enough to tell agreement here."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
                 rows = signatures([shingles_of(words_of(x.as_py())) for x in part.column("text")], LONG)
-                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([r.tobytes() for r in rows], pa.binary())], names=["node", "_long"])
+                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([r.astype(np.uint8).tobytes() for r in rows], pa.binary())], names=["node", "_long"])
 
     return texts.select("node", "text").mapInArrow(sign, "node long, _long binary")
 
@@ -215,7 +215,7 @@ def close_pairs(split: DataFrame) -> DataFrame:
     cells = other.select("b", "band", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "node", "label", "_sig", "_long")
 
     def meet(cell: pd.DataFrame) -> pd.DataFrame:
-        sig, long = (np.frombuffer(b"".join(cell[c]), dtype=np.uint32).reshape(len(cell), -1) for c in ("_sig", "_long"))
+        sig, long = (np.frombuffer(b"".join(cell[c]), dtype=t).reshape(len(cell), -1) for c, t in (("_sig", np.uint32), ("_long", np.uint8)))
         bands = sig.reshape(len(cell), BANDS, ROWS)[:, : int(cell["b"].iloc[0])]
         node, label, tile = (cell[c].to_numpy() for c in ("node", "label", "tile"))
         across = cell["i"].iloc[0] != cell["j"].iloc[0]
