@@ -39,9 +39,9 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     level = (total - F.coalesce(F.sum("most").over(before), F.lit(0.0))) / F.sum("weight").over(after)
     levels = ranked.withColumn("level", level)
     holds = F.when(F.col("level") * F.col("weight") <= F.col("most"), F.col("level"))
-    first = F.min(holds).over(whole)
+    shared = F.max(holds).over(whole)  # levels fall from there on
     target = F.coalesce(F.least(F.col("most"), F.col("weight") * F.col("shared")), F.col("most"))
-    return levels.withColumn("shared", first).select("source", "source_size", target.alias("target"))
+    return levels.withColumn("shared", shared).select("source", "source_size", target.alias("target"))
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: str = SEED) -> DataFrame:
@@ -84,7 +84,7 @@ levels AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER ()
     - coalesce(sum(most) OVER (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
   / sum(weight) OVER (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM ranked),
 targets AS (SELECT source, source_size,
-  coalesce(least(most, weight * min(CASE WHEN level * weight <= most THEN level END) OVER ()), most) AS target FROM levels),
+  coalesce(least(most, weight * max(CASE WHEN level * weight <= most THEN level END) OVER ()), most) AS target FROM levels),
 drawn AS (SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
   ('0x' || substr(md5('mix:' || doc_id), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS draw
   FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source)

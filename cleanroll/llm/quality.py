@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 BUCKETS = 1 << 14
 SAMPLE = 20_000
-SMOOTHING = 1.0
+SMOOTHING = 5.0  # added to a bucket's count in the target and to the count it would have at the corpus' share
 THRESHOLD = -0.1
 LEAST_WORDS = 50
 MOST_REPEATED = 50  # percent of words in repeated windows
@@ -62,7 +62,7 @@ def trusted_ids(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
 
 def bucket_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, sample: int = SAMPLE) -> np.ndarray:
-    """log p_target - log p_raw per bucket. Raw counts cover all documents, target counts the trusted ones.
+    """log p_target - log p_raw per bucket, near 0 where counts say little. Raw counts cover all documents, target counts the trusted ones.
 
     A task sends one row a bucket at most; `buckets` rows reach the driver.
     """
@@ -88,8 +88,8 @@ def bucket_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, sa
         raw[row.bucket], target[row.bucket] = row.raw, row.target
     if not target.sum():  # nothing to trust: no document is told apart
         return np.zeros(buckets)
-    share = lambda c: np.log((c + SMOOTHING) / (c.sum() + SMOOTHING * buckets))
-    return share(target) - share(raw)
+    expected = raw * (target.sum() / raw.sum())
+    return np.log((target + SMOOTHING) / (expected + SMOOTHING))
 
 
 SCORES = (
