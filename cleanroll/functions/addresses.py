@@ -10,8 +10,8 @@ STREET_PARTS = 5
 LIMITS = {"city": 100, "country": 255, "state": 255, "postal_code": 50}
 STREETS = tuple(f"street{i}_name" for i in range(1, STREET_PARTS + 1))
 ADDRESS_COLUMNS = (*STREETS, "city", "country", "state", "postal_code")
-
-
+# The address as delivered, before any limit: what tells two addresses apart.
+FULL_COLUMNS = ("CurrentAddressStreet", "CurrentAddressCity", "CurrentAddressCountryCode", "CurrentAddressState", "CurrentAddressZip")
 
 def street_parts(street: Column) -> dict[str, Column]:
     """Consecutive parts of 100 characters; a part beyond the end is empty."""
@@ -24,7 +24,7 @@ def truncated(name: str) -> Column:
     return F.substring(F.col(name), 1, LIMITS[name]).alias(name)
 
 
-def address_key(columns=ADDRESS_COLUMNS) -> Column:
+def address_key(columns=FULL_COLUMNS) -> Column:
     """The match key: 256-bit, and different where only the place of a NULL differs.
 
     Each value is written with its length, so no value can imitate a separator.

@@ -13,15 +13,19 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 DEFAULT_REGION = "US"
-# A number with fewer or more digits than these cannot be read at all.
+# A text with fewer digits than these cannot be read as a number at all.
 MIN_DIGITS = 2
-MAX_DIGITS = 17
+# How an extension is written behind a number, and the letters of the keypad.
+EXTENSION = r"(?i)(?<=[0-9])[\s,;.)]*(?:;ext=|extension|extn|ext|xtn|x|#)[\s.:]*[0-9]{1,7}#?\s*\z"
+LETTERS, KEYS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "22233344455566677778889999"
+# A number spelt in letters has at least three of them.
+SPELT = r"(?i)\A(?:[^a-z]*[a-z]){3}"
 MAX_REGIONS = 300
 
 
 @dataclass(frozen=True)
 class Region:
-    """One numbering region. `pattern` must match the whole national number."""
+    """One numbering region. `pattern` must match the whole national number; `dial_out` leads abroad."""
 
     region: str
     calling_code: str
@@ -29,22 +33,24 @@ class Region:
     min_len: int
     max_len: int
     pattern: str
+    dial_out: str = ""
 
 
 # Fixed values from public numbering plans. Regions and calling codes outside this list are not
 # covered: their digits are kept as they are and never flagged valid.
+# The last value is the prefix for calls abroad.
 PLAN = (
-    Region("US", "1", "1", 10, 10, "[2-9][0-9]{2}[2-9][0-9]{6}"),
-    Region("CA", "1", "1", 10, 10, "[2-9][0-9]{2}[2-9][0-9]{6}"),
-    Region("GB", "44", "0", 9, 10, "[1-9][0-9]{8,9}"),
-    Region("FR", "33", "0", 9, 9, "[1-9][0-9]{8}"),
-    Region("DE", "49", "0", 6, 11, "[1-9][0-9]{5,10}"),
-    Region("ES", "34", "", 9, 9, "[5-9][0-9]{8}"),
-    Region("IN", "91", "0", 10, 10, "[1-9][0-9]{9}"),
-    Region("AU", "61", "0", 9, 9, "[2-478][0-9]{8}"),
-    Region("JP", "81", "0", 9, 10, "[1-9][0-9]{8,9}"),
-    Region("BR", "55", "0", 10, 11, "[1-9][0-9]{9,10}"),
-    Region("MX", "52", "", 10, 10, "[1-9][0-9]{9}"),
+    Region("US", "1", "1", 10, 10, "[2-9][0-9]{2}[2-9][0-9]{6}", "011"),
+    Region("CA", "1", "1", 10, 10, "[2-9][0-9]{2}[2-9][0-9]{6}", "011"),
+    Region("GB", "44", "0", 9, 10, "[1-9][0-9]{8,9}", "00"),
+    Region("FR", "33", "0", 9, 9, "[1-9][0-9]{8}", "00"),
+    Region("DE", "49", "0", 6, 11, "[1-9][0-9]{5,10}", "00"),
+    Region("ES", "34", "", 9, 9, "[5-9][0-9]{8}", "00"),
+    Region("IN", "91", "0", 10, 10, "[1-9][0-9]{9}", "00"),
+    Region("AU", "61", "0", 9, 9, "[2-478][0-9]{8}", "0011"),
+    Region("JP", "81", "0", 9, 10, "[1-9][0-9]{8,9}", "010"),
+    Region("BR", "55", "0", 10, 11, "[1-9][0-9]{9,10}", "00"),
+    Region("MX", "52", "", 10, 10, "[1-9][0-9]{9}", "00"),
 )
 
 
@@ -81,6 +87,23 @@ def _branches(plan: Sequence[Region]) -> list[tuple[str, Region]]:
     return [(rf"\+:{_prefix_abroad(r)}", r) for r in abroad] + [(f"{r.region}:{_prefix_at_home(r)}", r) for r in plan]
 
 
+def _written(number: str) -> Column:
+    """The number from its first digit or `+`, without an extension, letters turned into their keys."""
+    start = F.regexp_replace(number, r"\A[^0-9+]+", "")
+    bare = F.upper(F.regexp_replace(start, EXTENSION, ""))
+    return F.when(bare.rlike(SPELT), F.translate(bare, LETTERS, KEYS)).otherwise(bare)
+
+
+def _dial_out(plan: Sequence[Region]) -> str:
+    """`region:prefix` of a call abroad, with a digit other than 0 behind it."""
+    regions: dict[str, list[str]] = {}
+    for r in plan:
+        if r.dial_out:
+            regions.setdefault(r.dial_out, []).append(r.region)
+    ways = [f"(?:{'|'.join(names)}):{prefix}" for prefix, names in regions.items()]
+    return rf"\A(?:{'|'.join(ways)})(?=[1-9])" if ways else ""
+
+
 def standardise(
     df: DataFrame,
     number: str,
@@ -93,8 +116,10 @@ def standardise(
     A number that starts with `+` is read by its longest known calling code. Any
     other number belongs to `country` (`default` where NULL): its own calling code
     or trunk prefix is stripped when what remains has a length of that region.
-    Leading zeros carry no meaning in a national number and go too. Numbers that
-    cannot be read drop out; invalid numbers stay, flagged `false`.
+    Leading zeros carry no meaning in a national number and go too. A number behind
+    the region's dial-out prefix is read as if it began with `+`; an extension is no
+    part of a number; one spelt in letters is dialled by its keys. Texts without two
+    digits drop out; every other number stays, flagged `false` where it is not valid.
     """
     if len(plan) > MAX_REGIONS or not all(r.region.isalnum() for r in plan):
         raise ValueError(f"a plan holds at most {MAX_REGIONS} regions with plain names")
@@ -104,11 +129,14 @@ def standardise(
     valid = rf"\A(?:{'|'.join(f'(?>{prefix}0*)(?:{r.pattern})' for prefix, r in branches)})\z"
 
     home = F.coalesce(F.col(country), F.lit(default)) if country else F.lit(default)
-    tag = F.when(F.ltrim(F.col(number)).startswith("+"), F.lit("+")).otherwise(home)
+    tag = F.when(F.col("_written").startswith("+"), F.lit("+")).otherwise(home)
+    placed = F.concat_ws(":", tag, F.col("_digits"))
+    dialled = _dial_out(plan)
     tagged = (
-        df.withColumn("_digits", F.regexp_replace(number, "[^0-9]", ""))
-        .where(F.length("_digits").between(MIN_DIGITS, MAX_DIGITS))
-        .withColumn("_tagged", F.concat_ws(":", tag, F.col("_digits")))
+        df.withColumn("_written", _written(number))
+        .withColumn("_digits", F.regexp_replace("_written", "[^0-9]", ""))
+        .where(F.length("_digits") >= MIN_DIGITS)
+        .withColumn("_tagged", F.regexp_replace(placed, dialled, "+:") if dialled else placed)
     )
     codes = sorted({r.calling_code for r in plan}, key=lambda c: -len(c))
     # The calling code is the one written after "+:", or that of the region before the colon.
@@ -121,7 +149,7 @@ def standardise(
         tagged.withColumn("standardised_phone_number", F.coalesce(F.regexp_replace("_tagged", strip, ""), F.lit("")))
         .withColumn("is_valid_flag", F.col("_tagged").rlike(valid).cast("string"))
         .withColumn("calling_code", calling)
-        .drop("_digits", "_tagged")
+        .drop("_written", "_digits", "_tagged")
     )
 
 

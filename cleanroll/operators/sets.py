@@ -101,9 +101,9 @@ def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:
     return df.select(*keys).distinct()
 
 
-def cap(df: DataFrame, *keys: str, n: int | None = None) -> DataFrame:
-    """The first `n` rows by `keys`, so a capped run is repeatable; no cap by default."""
-    return df if n is None else df.orderBy(*keys).limit(n)
+def cap(df: DataFrame, *keys: str, n: int) -> DataFrame:
+    """A trial's first `n` rows by `keys`, repeatable. No job uses it: it would drop requests."""
+    return df.orderBy(*keys).limit(n)
 
 
 def candidate_funnel(stages: Mapping[str, DataFrame]) -> DataFrame:

@@ -6,17 +6,17 @@ from pyspark.sql import DataFrame, functions as F
 
 from cleanroll.functions.text import domain_request
 from cleanroll.operators.providers import domain_tables, parse_domain
-from cleanroll.operators.sets import cap, minus_distinct, union_by_position
+from cleanroll.operators.sets import minus_distinct, union_by_position
 from cleanroll.session import stage
 from cleanroll.sources.answers import answers
 
 PROVIDER = "domain"
 
 
-def domain_candidates(websites: DataFrame, *histories: DataFrame, known: DataFrame, max_requests: int | None = None) -> DataFrame:
+def domain_candidates(websites: DataFrame, *histories: DataFrame, known: DataFrame) -> DataFrame:
     """Distinct websites and email domains that are not known yet."""
     everything = union_by_position(websites.select("website"), *[h.select("domainpart") for h in histories])
-    return cap(minus_distinct(everything, known.select("domain")), "website", n=max_requests)
+    return minus_distinct(everything, known.select("domain"))
 
 
 def domain_details(candidates: DataFrame, landed: DataFrame, fetched_since=None) -> DataFrame:

@@ -9,7 +9,7 @@ from cleanroll.functions.periods import DAY, changed_in
 from cleanroll.functions.text import email_request
 from cleanroll.operators.landing import land
 from cleanroll.operators.providers import flatten_email_verdict
-from cleanroll.operators.sets import cap, distinct_keys, due_keys, minus_distinct, only_in
+from cleanroll.operators.sets import distinct_keys, due_keys, minus_distinct, only_in
 from cleanroll.sources.answers import answers
 
 PROVIDER = "email"
@@ -31,10 +31,9 @@ def email_owners(batch: DataFrame, emails: DataFrame, history: DataFrame, run_da
     return only_in(changed, "person_email_key", due)
 
 
-def email_candidates(owners: DataFrame, junk: DataFrame, max_requests: int | None = None) -> DataFrame:
+def email_candidates(owners: DataFrame, junk: DataFrame) -> DataFrame:
     """The distinct emails to verify: those of `owners` that are not junk."""
-    wanted = minus_distinct(distinct_keys(owners, "email_address"), junk.select("email_address"))
-    return cap(wanted, "email_address", n=max_requests)
+    return minus_distinct(distinct_keys(owners, "email_address"), junk.select("email_address"))
 
 
 def enrichment_as_master(emails: DataFrame) -> DataFrame:
@@ -62,10 +61,13 @@ def enriched_email_owners(
     return only_in(changed.where(valid_email(F.col("email_address"))), "person_email_key", due)
 
 
-def email_verdicts(candidates: DataFrame, landed: DataFrame, timeout: int = 30, fetched_since=None) -> DataFrame:
-    """`email_address` and the verdict's columns for every email with a good answer."""
-    keys = candidates.select("email_address", email_request(F.col("email_address"), timeout).alias("request_key"))
-    return flatten_email_verdict(answers(keys, landed, PROVIDER, fetched_since), "email_address")
+def email_verdicts(
+    candidates: DataFrame, landed: DataFrame, timeout: int = 30, fetched_since=None, after: str | None = None
+) -> DataFrame:
+    """`email_address` and the verdict's columns for every email with a good answer, later than `after` if that is named."""
+    request = email_request(F.col("email_address"), timeout).alias("request_key")
+    keys = candidates.select("email_address", request, *([after] if after else []))
+    return flatten_email_verdict(answers(keys, landed, PROVIDER, fetched_since, after), "email_address")
 
 
 def email_landing(verdicts: DataFrame, owners: DataFrame, run_ts=None) -> DataFrame:
@@ -77,7 +79,8 @@ def needs_rerun(staged: DataFrame) -> DataFrame:
 
 
 def email_rerun(staged: DataFrame, landed: DataFrame, timeout: int = 30, run_ts=None, fetched_since=None) -> DataFrame:
-    """New verdicts for the emails staged with the rerun status pair."""
-    owners = needs_rerun(staged).select(F.col("Email").alias("email_address"), "person_key", "person_email_key")
-    verdicts = email_verdicts(distinct_keys(owners, "email_address"), landed, timeout, fetched_since)
+    """New verdicts for the emails staged with the rerun status pair: answers fetched after the staged ones were verified."""
+    owners = needs_rerun(staged).select(F.col("Email").alias("email_address"), "person_key", "person_email_key", DATE)
+    asked = owners.groupBy("email_address").agg(F.max(DATE).alias("verified_at"))
+    verdicts = email_verdicts(asked, landed, timeout, fetched_since, after="verified_at")
     return email_landing(verdicts, owners, run_ts)

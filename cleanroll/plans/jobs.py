@@ -38,7 +38,6 @@ class Run:
     grain: str = DAY
     run_ts: str | None = None
     fetched_since: str | None = None
-    max_requests: int | None = None
     email_timeout: int = 30
     plan: tuple = field(default=PLAN)
 
@@ -83,7 +82,7 @@ def email_verification_enriched(run: Run) -> Outputs:
 
 
 def _land_emails(run: Run, owners: DataFrame, target: str) -> Outputs:
-    wanted = stage(emails.email_candidates(owners, run.table("junk_email"), run.max_requests), "email_candidates")
+    wanted = stage(emails.email_candidates(owners, run.table("junk_email")), "email_candidates")
     verdicts = emails.email_verdicts(wanted, run.landed(), run.email_timeout, run.fetched_since)
     landed = emails.email_landing(verdicts, owners, run.run_ts)
     return {target: landed, **_funnel(run, owners=owners, candidates=wanted)}
@@ -110,7 +109,7 @@ def phone_hygiene(run: Run) -> Outputs:
     staged = stage(_land_phones(run, candidates), "phone_verdicts")
     escalated = phones.phone_escalation(
         staged, run.table("phone_exchange_history"), run.landed(), run.run_date, run.days["phone_exchange"],
-        run.max_requests, run.run_ts, run.fetched_since,
+        run.run_ts, run.fetched_since,
     )
     return {
         "phone_standardisation_history": standardisation_log(candidates, run.user, run.run_ts),
@@ -135,7 +134,7 @@ def phone_hygiene_enriched(run: Run) -> Outputs:
 
 
 def _land_phones(run: Run, candidates: DataFrame) -> DataFrame:
-    verdicts = phones.phone_verdicts(candidates, run.landed(), run.max_requests, run.fetched_since)
+    verdicts = phones.phone_verdicts(candidates, run.landed(), run.fetched_since)
     return phones.phone_landing(verdicts, candidates, run.run_ts)
 
 
@@ -150,7 +149,7 @@ def reverse_lookup(run: Run) -> Outputs:
     return {
         "phone_standardisation_history": standardisation_log(candidates, run.user, run.run_ts),
         "phone_reverse_staging": phones.reverse_lookup(
-            candidates, run.landed(), run.max_requests, run.run_ts, run.fetched_since
+            candidates, run.landed(), run.run_ts, run.fetched_since
         ),
     }
 
@@ -165,7 +164,7 @@ def reverse_escalation(run: Run) -> Outputs:
     return {
         "phone_standardisation_history": standardisation_log(candidates, run.user, run.run_ts),
         "phone_owner_staging": phones.reverse_escalation(
-            candidates, run.landed(), run.max_requests, run.run_ts, run.fetched_since
+            candidates, run.landed(), run.run_ts, run.fetched_since
         ),
     }
 
@@ -178,9 +177,9 @@ def person_enrichment(run: Run) -> Outputs:
         ),
         "match_owners",
     )
-    matches = stage(persons.person_matches(owners, run.landed(), run.max_requests, run.fetched_since), "person_matches")
+    matches = stage(persons.person_matches(owners, run.landed(), run.fetched_since), "person_matches")
     ids = persons.detail_ids(matches, run.table("enrichment_person"), run.run_date, run.days["person_detail"])
-    details = persons.person_details(ids, run.landed(), run.max_requests, run.fetched_since)
+    details = persons.person_details(ids, run.landed(), run.fetched_since)
     return {
         "person_match": persons.person_match(matches, owners),
         **persons.person_detail(details),
@@ -191,7 +190,7 @@ def person_enrichment(run: Run) -> Outputs:
 def person_detail_bulk(run: Run) -> Outputs:
     """Detail for a ready list of ids."""
     details = persons.person_details(
-        run.table("person_detail_request"), run.landed(), run.max_requests, run.fetched_since
+        run.table("person_detail_request"), run.landed(), run.fetched_since
     )
     return persons.person_detail(details)
 
@@ -199,7 +198,7 @@ def person_detail_bulk(run: Run) -> Outputs:
 def domain_enrichment(run: Run) -> Outputs:
     wanted = domains.domain_candidates(
         run.table("website_batch_monthly"), run.table("enrichment_email_history"), run.table("person_email_history"),
-        known=run.table("known_domain"), max_requests=run.max_requests,
+        known=run.table("known_domain"),
     )
     return domains.domain_enrichment(domains.domain_details(wanted, run.landed(), run.fetched_since))
 

@@ -8,7 +8,7 @@ from cleanroll.functions.periods import DAY, changed_in
 from cleanroll.functions.text import detail_request, match_request
 from cleanroll.operators.landing import land
 from cleanroll.operators.providers import flatten_person_match, parse_person_detail, person_detail_tables
-from cleanroll.operators.sets import cap, distinct_keys, not_in, not_recent, own_shuffle
+from cleanroll.operators.sets import distinct_keys, not_in, not_recent, own_shuffle
 from cleanroll.session import stage
 from cleanroll.sources.answers import answers
 
@@ -24,8 +24,8 @@ def match_owners(batch: DataFrame, bridged: DataFrame, emails: DataFrame, run_da
     return fresh.join(emails.select("person_key", "email_address"), "person_key")
 
 
-def person_matches(owners: DataFrame, landed: DataFrame, max_requests: int | None = None, fetched_since=None) -> DataFrame:
-    wanted = cap(distinct_keys(owners, *NAME_AND_EMAIL), *NAME_AND_EMAIL, n=max_requests)
+def person_matches(owners: DataFrame, landed: DataFrame, fetched_since=None) -> DataFrame:
+    wanted = distinct_keys(owners, *NAME_AND_EMAIL)
     keys = wanted.withColumn("request_key", match_request(*[F.col(c) for c in NAME_AND_EMAIL]))
     return flatten_person_match(answers(keys, landed, MATCH, fetched_since), *NAME_AND_EMAIL)
 
@@ -41,9 +41,9 @@ def detail_ids(matches: DataFrame, persons: DataFrame, run_date, days: int) -> D
     return not_recent(ids, "person_id", persons, run_date=run_date, days=days)
 
 
-def person_details(ids: DataFrame, landed: DataFrame, max_requests: int | None = None, fetched_since=None) -> DataFrame:
+def person_details(ids: DataFrame, landed: DataFrame, fetched_since=None) -> DataFrame:
     """Parsed bodies of the ids, one row per person with an id of its own."""
-    wanted = cap(distinct_keys(ids.where(F.col("person_id").isNotNull()), "person_id"), "person_id", n=max_requests)
+    wanted = distinct_keys(ids.where(F.col("person_id").isNotNull()), "person_id")
     keys = wanted.withColumn("request_key", detail_request(F.col("person_id")))
     return parse_person_detail(answers(keys, landed, DETAIL, fetched_since))
 

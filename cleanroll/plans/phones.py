@@ -15,7 +15,7 @@ from cleanroll.operators.providers import (
     flatten_phone_reverse,
     flatten_phone_verdict,
 )
-from cleanroll.operators.sets import cap, distinct_keys, not_recent, only_in
+from cleanroll.operators.sets import distinct_keys, not_recent, only_in
 from cleanroll.sources.answers import answers
 
 VERDICT, EXCHANGE, REVERSE, OWNER = "phone", "phone_exchange", "phone_reverse", "phone_owner"
@@ -70,9 +70,9 @@ def phone_candidates_enriched(
     return _outside_cooldown(standardise(asked, "telephone_number", None, plan).select(*COLUMNS), histories, run_date, days)
 
 
-def phone_verdicts(candidates: DataFrame, landed: DataFrame, max_requests: int | None = None, fetched_since=None) -> DataFrame:
+def phone_verdicts(candidates: DataFrame, landed: DataFrame, fetched_since=None) -> DataFrame:
     """Verdict per distinct (number, country)."""
-    numbers = cap(distinct_keys(candidates, NUMBER, "country_code"), NUMBER, "country_code", n=max_requests)
+    numbers = distinct_keys(candidates, NUMBER, "country_code")
     request = phone_request(F.col(NUMBER), F.col("country_code"))
     keys = numbers.withColumn("request_key", request)
     return flatten_phone_verdict(answers(keys, landed, VERDICT, fetched_since), NUMBER, "country_code")
@@ -93,11 +93,11 @@ def escalation_owners(staged: DataFrame, history: DataFrame, run_date, days: int
 
 def phone_escalation(
     staged: DataFrame, history: DataFrame, landed: DataFrame, run_date, days: int,
-    max_requests: int | None = None, run_ts=None, fetched_since=None,
+    run_ts=None, fetched_since=None,
 ) -> DataFrame:
     """Exchange data for the escalated numbers of this run. No hit, no rows: nothing has to be counted first."""
     owners = escalation_owners(staged, history, run_date, days).withColumnRenamed("PhoneNumber", "Phone_Number")
-    numbers = cap(distinct_keys(owners, "Phone_Number"), "Phone_Number", n=max_requests)
+    numbers = distinct_keys(owners, "Phone_Number")
     keys = numbers.withColumn("request_key", phone_request(F.col("Phone_Number")))
     verdicts = flatten_phone_exchange(answers(keys, landed, EXCHANGE, fetched_since), "Phone_Number")
     return land(verdicts, owners, ["Phone_Number"], ["person_phone_key"], DATE, run_ts)
@@ -105,15 +105,15 @@ def phone_escalation(
 
 def reverse_candidates(batch: DataFrame, phones: DataFrame, history: DataFrame, run_date, days: int, plan=PLAN) -> DataFrame:
     """All phones of the batch outside the cool-down, read as numbers of the default region."""
-    owned = phones.select("person_phone_key", "telephone_number", "person_key").join(batch.select("person_key"), "person_key")
+    owned = only_in(phones.select("person_phone_key", "telephone_number", "person_key"), "person_key", batch)
     fresh = not_recent(owned, "person_phone_key", history, run_date=run_date, days=days)
     return standardise(fresh, "telephone_number", None, plan).select("person_phone_key", "telephone_number", NUMBER, "is_valid_flag")
 
 
 def reverse_lookup(
-    candidates: DataFrame, landed: DataFrame, max_requests: int | None = None, run_ts=None, fetched_since=None
+    candidates: DataFrame, landed: DataFrame, run_ts=None, fetched_since=None
 ) -> DataFrame:
-    numbers = cap(distinct_keys(candidates, NUMBER), NUMBER, n=max_requests)
+    numbers = distinct_keys(candidates, NUMBER)
     keys = numbers.withColumn("request_key", reverse_request(F.col(NUMBER)))
     verdicts = flatten_phone_reverse(answers(keys, landed, REVERSE, fetched_since), NUMBER)
     return land(verdicts, candidates, [NUMBER], ["person_phone_key"], DATE, run_ts)
@@ -126,11 +126,11 @@ def reverse_escalation_candidates(staged: DataFrame, history: DataFrame, run_dat
 
 
 def reverse_escalation(
-    candidates: DataFrame, landed: DataFrame, max_requests: int | None = None, run_ts=None, fetched_since=None
+    candidates: DataFrame, landed: DataFrame, run_ts=None, fetched_since=None
 ) -> DataFrame:
     """Owner data per number; the number itself stays, as `phonenumber`."""
     owners = candidates.withColumnRenamed(NUMBER, "phonenumber")
-    numbers = cap(distinct_keys(owners, "phonenumber"), "phonenumber", n=max_requests)
+    numbers = distinct_keys(owners, "phonenumber")
     keys = numbers.withColumn("request_key", owner_request(F.col("phonenumber")))
     verdicts = flatten_phone_owner(answers(keys, landed, OWNER, fetched_since), "phonenumber")
     return land(verdicts, owners, ["phonenumber"], ["person_phone_key"], DATE, run_ts, drop=[])

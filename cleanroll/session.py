@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -35,13 +36,13 @@ def build_session(app: str = "cleanroll", master: str | None = None, **conf: str
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for staged tables: `spark.checkpoint.dir` of the session.
 
-    Only a local session may fall back to a temporary folder; on a cluster a
+    Only a session of one JVM (`local`, `local[n]`) may fall back to a temporary folder; on a cluster a
     machine-local folder would be lost with its executor.
     """
     folder = spark.conf.get(CHECKPOINT_CONF, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError(f"set {CHECKPOINT_CONF} to a shared folder")
     folder = tempfile.mkdtemp(prefix="cleanroll-")
     spark.conf.set(CHECKPOINT_CONF, folder)

@@ -58,7 +58,7 @@ class ParquetSink:
 @dataclass(frozen=True)
 class JdbcSink:
     url: str
-    schema: str = "mdm"
+    schema: str
     properties: Mapping[str, str] = field(default_factory=dict)
     names: Mapping[str, str] = field(default_factory=dict)
     batch_size: int = 10_000

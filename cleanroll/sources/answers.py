@@ -4,24 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from cleanroll.operators.sets import only_in
+
 # Fixed value: the only status whose body counts as an answer.
 STATUS_OK = 200
 
 
-def latest_bodies(landed: DataFrame, provider: str, fetched_since=None) -> DataFrame:
-    """`(request_key, body)`: the newest good body of each key.
+def good_answers(landed: DataFrame, provider: str, fetched_since=None) -> DataFrame:
+    """The provider's rows with a body that counts.
 
-    The maximum is combined map-side, so a key fetched over and over reaches the
-    shuffle once per task. With `landed` partitioned by provider and fetch date,
-    `provider` and `fetched_since` prune the scan to the run's own answers.
+    With `landed` partitioned by provider and fetch date, `provider` and
+    `fetched_since` prune the scan to the run's own answers.
     """
     good = (F.col("provider") == provider) & (F.col("status") == STATUS_OK) & F.col("body").isNotNull()
     if fetched_since is not None:
         good = good & (F.col("fetched_at") >= F.lit(fetched_since).cast(landed.schema["fetched_at"].dataType))
-    newest = F.max(F.struct("fetched_at", "body"))
-    return landed.where(good).groupBy("request_key").agg(newest.alias("a")).select("request_key", "a.body")
+    return landed.where(good)
+
 
+def newest(good: DataFrame) -> DataFrame:
+    """`(request_key, fetched_at, body)`: the newest body of each key, combined map-side; of equal times the greatest body."""
+    answer = F.max(F.struct("fetched_at", "body"))
+    return good.groupBy("request_key").agg(answer.alias("a")).select("request_key", "a.fetched_at", "a.body")
 
-def answers(keys: DataFrame, landed: DataFrame, provider: str, fetched_since=None) -> DataFrame:
-    """`keys` (with `request_key`) plus `body`; a key without a good answer yields no row."""
-    return keys.join(latest_bodies(landed, provider, fetched_since), "request_key")
+
+def latest_bodies(landed: DataFrame, provider: str, fetched_since=None) -> DataFrame:
+    """`(request_key, body)` of every key that has a good answer."""
+    return newest(good_answers(landed, provider, fetched_since)).drop("fetched_at")
+
+
+def answers(keys: DataFrame, landed: DataFrame, provider: str, fetched_since=None, after: str | None = None) -> DataFrame:
+    """`keys` (with `request_key`) plus `body`; a key without a good answer yields no row.
+
+    The run's keys reduce the landed bodies before any is sorted or grouped. `after`
+    names a timestamp column of `keys`: only an answer fetched later than it counts,
+    and the column is dropped.
+    """
+    asked = only_in(good_answers(landed, provider, fetched_since), "request_key", keys)
+    found = keys.join(newest(asked), "request_key")
+    if after is not None:
+        found = found.where(F.col("fetched_at") > F.col(after)).drop(after)
+    return found.drop("fetched_at")

@@ -12,13 +12,14 @@ MAX_SETTINGS = 10_000
 def settings_table(spark: SparkSession, path: str) -> DataFrame:
     """`(key, value)`, one row per key: the last line of the file wins.
 
-    A line's place is its file and its offset in Spark's read order, which
-    `monotonically_increasing_id` follows within one scan.
+    Of several files the last by path wins. A scan may take files in any order, so a
+    line's place is its file, the start of its block, and its id, which grows within a block.
     """
     raw = spark.read.option("header", True).csv(path)
     first, second = raw.columns[:2]
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
     lines = raw.select(
-        F.col(first).alias("key"), F.col(second).alias("value"), F.monotonically_increasing_id().alias("line")
+        F.col(first).alias("key"), F.col(second).alias("value"), place.alias("line")
     )
     return (
         lines.where(F.col("key").isNotNull())

@@ -49,14 +49,17 @@ class Split:
 class JdbcTables:
     """Tables of one database schema. `splits` gives the parallel read of each large table.
 
+    A table without a split is read by one task, so it has to be named in `small`.
+
     Filters and column lists reach the database through Spark's JDBC pushdown.
     """
 
     spark: SparkSession
     url: str
-    schema: str = "mdm"
+    schema: str
     properties: Mapping[str, str] = field(default_factory=dict)
     splits: Mapping[str, Split] = field(default_factory=dict)
+    small: frozenset[str] = frozenset()
     names: Mapping[str, str] = field(default_factory=dict)
     fetch_size: int = 10_000
 
@@ -68,6 +71,8 @@ class JdbcTables:
             "fetchsize": str(self.fetch_size),
         }
         split = self.splits.get(name)
+        if split is None and name not in self.small:
+            raise ValueError(f"{name}: give a split, or name it in `small` to read it in one task")
         if split:
             out |= {
                 "partitionColumn": split.column,

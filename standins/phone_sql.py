@@ -31,7 +31,7 @@ def standardised(source: str, number: str, country: str | None) -> dict[str, str
         "readable": f"select *, regexp_replace({number}, '[^0-9]', '', 'g') as d, starts_with(ltrim({number}), '+') as abroad from {source}",
         "placed": f"""select r.*, case when abroad then coalesce(c2.region, c1.region) else {region} end as region_
             from readable r left join first_of_code c2 on c2.code = substring(d, 1, 2)
-            left join first_of_code c1 on c1.code = substring(d, 1, 1) where length(d) between 2 and 17""",
+            left join first_of_code c1 on c1.code = substring(d, 1, 1) where length(d) >= 2""",
         "cut": f"""select p.*, pl.code, pl.pattern, case
             when pl.region is null then d
             when abroad and trunk <> code and trunk <> '' and starts_with(substring(d, length(code) + 1), trunk)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from cleanroll.functions import text as txt
-from cleanroll.functions.addresses import ADDRESS_COLUMNS, address_key, street_parts, truncated, upper_trim
+from cleanroll.functions.addresses import ADDRESS_COLUMNS, FULL_COLUMNS, address_key, street_parts, truncated, upper_trim
 from cleanroll.functions.emails import valid_email
 from cleanroll.functions.periods import MONTH, changed_in, shifted_date, since
 from cleanroll.functions.phones import e164, standardise
@@ -363,7 +363,8 @@ def _(t):
 
 @query("distinct_rows", oracle("select distinct * from email_batch join person_email using (person_email_key)", "email_batch", "person_email"))
 def _(t):
-    return t.email_batch.join(t.person_email, "person_email_key").distinct()
+    # The keys are made distinct before they meet the wide rows; only those are then made distinct.
+    return sets.only_in(t.person_email, "person_email_key", t.email_batch).distinct()
 
 
 @query("count_rows", oracle("select 'batch' as stage, count(*) as rows from batch union all select 'email', count(*) from person_email", "batch", "person_email"))
@@ -414,14 +415,14 @@ def _(t):
     return wide.select("doc_id", *[truncated(c) for c in ("city", "country", "state", "postal_code")])
 
 
-def key_sql(prefix: str = "") -> str:
-    parts = [f"case when {prefix}{c} is null then '-' else concat(length({prefix}{c}), ':', {prefix}{c}) end" for c in ADDRESS_COLUMNS]
+def key_sql(prefix: str = "", names=ADDRESS_COLUMNS) -> str:
+    parts = [f"case when {prefix}{c} is null then '-' else concat(length({prefix}{c}), ':', {prefix}{c}) end" for c in names]
     return f"sha256(concat_ws('|', {', '.join(parts)}))"
 
 
 @query("address_hash", oracle(f"select address_key, {key_sql()} as match_key from address_parts", "address_parts"))
 def _(t):
-    return t.address_parts.select("address_key", address_key().alias("match_key"))
+    return t.address_parts.select("address_key", address_key(ADDRESS_COLUMNS).alias("match_key"))
 
 
 @query("upper_trim", oracle("select CurrentCompanyID, upper(trim(CurrentAddressState)) as state from employment", "employment"))
@@ -659,6 +660,14 @@ def _(t):
     return reduce(DataFrame.unionByName, lists)
 
 
+def renamed(steps: dict[str, str], suffix: str) -> dict[str, str]:
+    """The same steps under other names, for a second provider in one query."""
+    import re
+
+    names = "|".join(steps)
+    return {k + suffix: re.sub(rf"\b(from|join) ({names})\b", rf"\g<1> \g<2>{suffix}", v) for k, v in steps.items()}
+
+
 # ---------------------------------------------------------------- email dataflows
 EMAIL_OWNERS = {
     "owners": f"select person_key, email_address, person_email_key from person_email where {IN_MONTH.format('updated_date')} and {VALID} "
@@ -719,12 +728,19 @@ def _(t):
     return written_at(email_staged(t), emails.DATE)
 
 
+EMAIL_AGAIN = {
+    "both_landed": "select * from email_landed union all select * from rerun_landed",
+    **renamed({**EMAIL_FLAT, **answered("both_landed"), "latest": f"select request_key, body from ranked where rn = 1 and fetched_at > timestamp '{RUN_TS}'"}, "2"),
+}
+
+
 @query("email_rerun", oracle(
     f"select distinct {', '.join('n.' + c.strip() for c in EMAIL_NAMES.split(','))}, s.person_key, s.person_email_key, '{RUN_TS}' as email_verification_date "
     f"from (select distinct Email as email_address, person_key, person_email_key from staged where StatusNbr = '220' and Code = '222') s "
-    f"join flat n on n.request_key = {st.EMAIL_KEY}", *EMAIL_TABLES, "email_landed", **EMAIL_OWNERS, **EMAIL_FLAT, **EMAIL_LANDED))
+    f"join flat2 n on n.request_key = {st.EMAIL_KEY}", *EMAIL_TABLES, "email_landed", "rerun_landed", **EMAIL_OWNERS, **EMAIL_FLAT, **EMAIL_LANDED, **EMAIL_AGAIN))
 def _(t):
-    return written_at(emails.email_rerun(stage(email_staged(t), "email_verdicts"), t.email_landed, run_ts=RUN_TS), emails.DATE)
+    landed = t.email_landed.unionByName(t.rerun_landed)
+    return written_at(emails.email_rerun(stage(email_staged(t), "email_verdicts"), landed, run_ts=RUN_TS), emails.DATE)
 
 
 @query("candidate_funnel", oracle(
@@ -732,7 +748,7 @@ def _(t):
     "select 'owners', count(*) from owners union all select 'distinct', count(distinct email_address) from owners union all "
     "select 'candidates', count(*) from candidates", *EMAIL_TABLES, **EMAIL_OWNERS))
 def _(t):
-    owners = email_owners(t)
+    owners = stage(email_owners(t), "email_owners")
     return sets.candidate_funnel({
         "changed": changed_in(t.person_email, "updated_date", RUN_DATE, MONTH),
         "owners": owners,
@@ -812,14 +828,6 @@ def _(t):
 PHONE_MORE = {k: v for k, v in EXCHANGE_FLAT.items() if k != "flat"}
 
 
-def renamed(steps: dict[str, str], suffix: str) -> dict[str, str]:
-    """The same steps under other names, for a second provider in one query."""
-    import re
-
-    names = "|".join(steps)
-    return {k + suffix: re.sub(rf"\b(from|join) ({names})\b", rf"\g<1> \g<2>{suffix}", v) for k, v in steps.items()}
-
-
 ESCALATION = {
     "hits": "select distinct person_phone_key, PhoneNumber from staged where (contains(Results, 'PS02') or contains(Results, 'PS16')) and person_phone_key not in "
             f"(select person_phone_key from exchange_history where {SINCE.format('updated_date')})",
@@ -965,24 +973,29 @@ def _(t):
 ADDRESS_LIST = "CurrentCompanyID, street1_name, street2_name, street3_name, street4_name, street5_name, city, country, state, postal_code"
 
 
+def keyed(df: DataFrame) -> DataFrame:
+    """An address table with the key that is stored with it."""
+    return df.withColumn("match_key", address_key())
+
+
 @query("address_load", oracle(
-    f"select distinct {ADDRESS_LIST}, address_state_key, 0 as update_flag from cut left join states s on upper(trim(country)) = upper(trim(country_synonym)) "
-    f"and upper(trim(state)) = upper(trim(state_name)) where k not in (select {key_sql()} from known_address)",
+    f"select distinct {ADDRESS_LIST}, address_state_key, k as match_key, 0 as update_flag from cut left join states s on upper(trim(country)) = upper(trim(country_synonym)) "
+    f"and upper(trim(state)) = upper(trim(state_name)) where k not in (select {key_sql(names=FULL_COLUMNS)} from known_address)",
     "employment", "known_address", "states",
-    split=f"select CurrentCompanyID, {st._STREETS}, {st._CUT} from employment", cut=f"select *, {key_sql()} as k from split"))
+    cut=f"select CurrentCompanyID, {st._STREETS}, {st._CUT}, {key_sql(names=FULL_COLUMNS)} as k from employment"))
 def _(t):
     # The Murmur3 value is not compared: the other engine has a different hash.
-    return addresses.address_load(t.employment, t.known_address, t.states).drop("hash_key_val")
+    return addresses.address_load(t.employment, keyed(t.known_address), t.states).drop("hash_key_val")
 
 
 @query("address_bridge", oracle(
     "select distinct p.enrichment_api_company_key, p.address_type_key, p.address_key, case when b.enrichment_api_company_key is null then 0 else 1 end as update_flag from "
-    "(select c.enrichment_api_company_key, 30000031 as address_type_key, k.address_key from company_address a, company c, known_address k "
-    f"where a.CurrentCompanyID = c.enrichment_api_company_id and {key_sql('a.')} = {key_sql('k.')}) p left join company_bridge b "
+    "(select c.enrichment_api_company_key, 30000031 as address_type_key, k.address_key from company_address a, company c, address_parts k "
+    f"where a.CurrentCompanyID = c.enrichment_api_company_id and {key_sql('a.', FULL_COLUMNS)} = {key_sql('k.', FULL_COLUMNS)}) p left join company_bridge b "
     "on p.enrichment_api_company_key = b.enrichment_api_company_key and p.address_type_key = b.address_type_key and p.address_key <> b.address_key",
-    "company_address", "company", "known_address", "company_bridge"))
+    "company_address", "company", "address_parts", "company_bridge"))
 def _(t):
-    return addresses.address_bridge(t.company_address, t.company, t.known_address, t.company_bridge)
+    return addresses.address_bridge(keyed(t.company_address), t.company, keyed(t.address_parts), t.company_bridge)
 
 
 __all__ = ["QUERIES", "email_candidates"]

@@ -28,14 +28,14 @@ def pick(n: str, *choices: str) -> str:
     return f"case {whens} else {choices[-1]} end"
 
 
-def landed(provider: str, source: str, owner: str, key: str, when: str, extra: str = "") -> str:
+def landed(provider: str, source: str, owner: str, key: str, when: str, extra: str = "", seed: str = "") -> str:
     """Landed responses of one provider for each `owner` of `source`.
 
     A body is one of the provider's templates with the owner written into it; the
-    owner's MD5, on which both engines agree, says which one.
+    owner's MD5, on which both engines agree, says which one; a `seed` makes it another one.
     """
     bodies = [f"'{t}'" for t in TEMPLATES[provider]]
-    picked = f"select {key} as request_key, {when} as fetched_at, {owner} as owner, {extra or owner} as detail, md5({owner}) as h from {source}"
+    picked = f"select {key} as request_key, {when} as fetched_at, {owner} as owner, {extra or owner} as detail, md5(concat({owner}, '{seed}')) as h from {source}"
     numbered = (
         f"select *, (ascii(substring(h, 1, 1)) * 31 + ascii(substring(h, 2, 1)) * 7 + ascii(substring(h, 3, 1))) % {len(bodies)} as b, "
         f"(ascii(substring(h, 4, 1)) * 31 + ascii(substring(h, 5, 1))) % 23 as s from ({picked}) p"
@@ -107,6 +107,8 @@ _CUT = (
     "substring(CurrentAddressCity, 1, 100) as city, substring(CurrentAddressCountryCode, 1, 255) as country, "
     "substring(CurrentAddressState, 1, 255) as state, substring(CurrentAddressZip, 1, 50) as postal_code"
 )
+_FULL = "CurrentAddressStreet, CurrentAddressCity, CurrentAddressCountryCode, CurrentAddressState, CurrentAddressZip"
+RERUN_FETCHED = "timestamp '2025-01-01 00:00:00'"
 
 TABLES: dict[str, str] = {
     # persons and emails
@@ -149,6 +151,9 @@ TABLES: dict[str, str] = {
     "email_keys": "select email_address, updated_date from person_email where email_address is not null union all "
                   "select email, updated_date from enrichment_email where email is not null",
     "email_landed": landed("email", "email_keys", "email_address", EMAIL_KEY, "updated_date", "split_part(email_address, '@', 2)"),
+    # What the email provider answers when it is asked again later.
+    "rerun_keys": "select distinct email_address from email_keys",
+    "rerun_landed": landed("email", "rerun_keys", "email_address", EMAIL_KEY, RERUN_FETCHED, "split_part(email_address, '@', 2)", "again"),
     "numbers": " union ".join(f"select {n} as number from @orders" for n in NUMBER_FORMS),
     "country_numbers": " union ".join(f"select {n} as number, {COUNTRY_OF_ROW} as country_code from @orders" for n in NUMBER_FORMS),
     "phone_landed": landed("phone", "country_numbers", "number", COUNTRY_PHONE_KEY, FETCHED),
@@ -172,7 +177,7 @@ TABLES: dict[str, str] = {
                   "case when doc_id % 6 = 0 then null else concat(' ', lang, ' ') end as CurrentAddressState, "
                   "case when doc_id % 7 = 0 then null else cast(n_chars as string) end as CurrentAddressZip, "
                   "lower(concat('country_', doc_id % 25)) as CurrentAddressCountryCode from @documents",
-    "address_parts": f"select doc_id as address_key, {_STREETS}, {_CUT} from (select doc_id, text as CurrentAddressStreet, source as CurrentAddressCity, "
+    "address_parts": f"select doc_id as address_key, {_STREETS}, {_CUT}, {_FULL} from (select doc_id, text as CurrentAddressStreet, source as CurrentAddressCity, "
                      "case when doc_id % 6 = 0 then null else concat(' ', lang, ' ') end as CurrentAddressState, "
                      "case when doc_id % 7 = 0 then null else cast(n_chars as string) end as CurrentAddressZip, "
                      "lower(concat('country_', doc_id % 25)) as CurrentAddressCountryCode from @documents) d",
@@ -180,7 +185,7 @@ TABLES: dict[str, str] = {
     "states": "select distinct concat('COUNTRY_', doc_id % 25) as country_synonym, upper(lang) as state_name, "
               "(doc_id % 25) * 10 + length(lang) as address_state_key from @documents where doc_id % 4 <> 1",
     "company": "select concat('C', s_suppkey) as enrichment_api_company_id, s_suppkey as enrichment_api_company_key from @supplier",
-    "company_address": f"select concat('C', address_key % 200) as CurrentCompanyID, {', '.join(ADDRESS_NAMES)} from address_parts",
+    "company_address": f"select concat('C', address_key % 200) as CurrentCompanyID, {', '.join(ADDRESS_NAMES)}, {_FULL} from address_parts",
     "company_bridge": "select 30000031 as address_type_key, p_partkey % 200 as enrichment_api_company_key, p_partkey % 400 as address_key from @part where p_partkey % 3 <> 0",
     # run log
     "run_master": "select o_orderkey as batch_id from @orders",

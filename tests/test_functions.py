@@ -75,12 +75,21 @@ PHONES = [
     ("0123456", "ZZ", "123456", "false"),
     ("000", "US", "0", "false"),
     ("34 600 000 000", "ES", "600000000", "true"),
+    ("+1 212 555 0100 x12", None, "2125550100", "true"),
+    ("212-555-0100 ext. 7", "US", "2125550100", "true"),
+    ("(0)20 7946 0001;ext=9", "GB", "2079460001", "true"),
+    ("tel: 1-800-FLOWERS", None, "8003569377", "true"),
+    ("011 44 20 7946 0001", "US", "2079460001", "true"),
+    ("00 44 20 7946 0001", "GB", "2079460001", "true"),
+    ("0011 1 212 555 0100", "AU", "2125550100", "true"),
+    ("+44 12345678901234567", None, "12345678901234567", "false"),
+    ("1" * 18, "US", "1" * 18, "false"),
 ]
 
 
 def test_standardise(table):
     rows = [(i, n, c) for i, (n, c, _, _) in enumerate(PHONES)]
-    rows += [(90, None, "US"), (91, "call me", None), (92, "7", "US"), (93, "1" * 18, "US")]
+    rows += [(90, None, "US"), (91, "call me", None), (92, "7", "US"), (93, "", "US"), (95, "+", None)]
     out = standardise(table(rows, "k int, n string, c string"), "n", "c")
     got = {r["k"]: (r["standardised_phone_number"], r["is_valid_flag"]) for r in out.collect()}
     assert got == {i: (d, v) for i, (_, _, d, v) in enumerate(PHONES)}

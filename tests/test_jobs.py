@@ -65,9 +65,9 @@ def world(spark, tmp_path):
             "person_phone_key long, person_key long, telephone_number string, updated_date string"),
         "person_address": ([(1, 5), (2, 6)], "person_key long, address_key long"),
         "address": (
-            [(5, "usa") + ("",) * 5 + (None,) * 3, (6, "uk") + ("1 Main", "", "", "", "", "NY", "x", None)],
+            [(5, "usa") + ("",) * 5 + (None,) * 3 + ("k5",), (6, "uk") + ("1 Main", "", "", "", "", "NY", "x", None, "k6")],
             "address_key long, country string, street1_name string, street2_name string, street3_name string, street4_name string, "
-            "street5_name string, city string, state string, postal_code string"),
+            "street5_name string, city string, state string, postal_code string, match_key string"),
         "country_synonym": ([("usa", "US"), ("uk", "GB")], "country_synonym string, country_code string"),
         **{h: ([("1", 99, "2024-01-18 00:00:00")], "phone_number string, person_phone_key long, updated_date string")
            for h in (*jobs.PHONE_HISTORIES, "phone_reverse_history")},
@@ -96,6 +96,15 @@ def world(spark, tmp_path):
             )
             jobs.run_job(job, run, "e")
 
+        def append(self, name, **row):
+            """A row with these values and NULL elsewhere."""
+            schema = spark.read.parquet(f"{tmp_path}/{name}").schema
+            spark.createDataFrame([tuple(row.get(c) for c in schema.names)], schema).write.mode("append").parquet(f"{tmp_path}/{name}")
+
+        def answer_again(self, provider, fetched_at):
+            rows = spark.createDataFrame(landed, "provider string, request_key string, status int, body string").where(F.col("provider") == provider)
+            rows.withColumn("fetched_at", F.lit(fetched_at).cast(day)).write.mode("append").parquet(f"{tmp_path}/landed_responses")
+
         def rows(self, name, *columns):
             return values(spark.read.parquet(f"{tmp_path}/{name}"), *columns)
 
@@ -107,8 +116,11 @@ def test_email_verification_and_rerun(world):
     assert world.rows("person_email_verification_staging", "Email", "person_key", "person_email_key") == [("ann@x.co", 1, 1)]
     assert world.rows("run_funnel") == [("i1", "candidates", 2), ("i1", "owners", 2)]
     world.run("email_rerun")
+    assert world.rows("person_email_verification_staging_rerun") == [], "the answer that asked for the rerun is not landed again"
+    world.answer_again("email", "2024-01-21 00:00:00")
+    world.run("email_rerun")
     assert world.rows("person_email_verification_staging_rerun", "Email", "person_key") == [("ann@x.co", 1)]
-    assert world.rows("run_log", "batch_id", "status", "entity_detail_key") == sorted([(42, "ended", "7"), (42, "started", "7")] * 2)
+    assert world.rows("run_log", "batch_id", "status", "entity_detail_key") == sorted([(42, "ended", "7"), (42, "started", "7")] * 3)
 
 
 def test_phone_hygiene_escalates_its_own_verdicts(world):
@@ -135,8 +147,10 @@ def test_person_enrichment_then_addresses(world):
     world.run("address_load")
     assert world.rows("company_address_staging", "CurrentCompanyID", "street1_name", "state", "address_state_key", "update_flag") == [
         ("C1", "1 Main", "ny ", 77, 0)]
+    key = world.rows("company_address_staging", "match_key")[0][0]
+    world.append("address", address_key=9, match_key=key)
     world.run("address_bridge")
-    assert world.rows("company_address_bridge_staging") == []
+    assert world.rows("company_address_bridge_staging", "enrichment_api_company_key", "address_key", "update_flag") == [(500, 9, 1)]
 
 
 def test_domain_enrichment(world):

@@ -131,6 +131,8 @@ def test_a_body_is_parsed_once_and_only_after_the_join_that_wants_it(spark, tabl
     text = plan(flatten_phone_verdict(answers(keys, landed, "p"), "request_key"))
     assert text.count("from_json") == 1
     assert text.index("from_json") < text.index("Join")
+    # Read downwards: the newest is taken of what the run's keys have left, below it.
+    assert text.index("max(struct(fetched_at") < text.rindex("LeftSemi")
 
 
 def test_the_library_never_collects_or_forces_a_broadcast():
