@@ -11,8 +11,6 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2.0
 SEED = "mix"
-# Rows of (source, rate) that may be broadcast; above it the rates are joined through a shuffle.
-BROADCAST_SOURCES = 20_000
 
 
 def n_words(text: Column) -> Column:
@@ -50,7 +48,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     copies is floor(rate), rate = target / source size, plus one if a number in [0, 1) made of the MD5 of the seed and
     doc_id (the text, where doc_id is null) is below the fraction: the same in every run. A null text has size 0; a null
     source is a source of its own, last in order; a source without words has target 0. Rows that repeat a doc_id draw
-    the same number. An empty table stays empty.
+    the same number. An empty table stays empty. The staged targets are broadcast by Spark where their size on disk is
+    below its threshold, and joined through a shuffle, a hot source split, where it is not.
     """
     taken = {"size", "source_size", "target", "copies", "_mixed_source"} & set(docs.columns)
     docs = docs.drop(*taken)
@@ -58,8 +57,6 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     targets = stage(source_targets(sized.select("source", "size"), weights, share, most), "targets").withColumnRenamed(
         "source", "_mixed_source"
     )
-    if targets.count() <= BROADCAST_SOURCES:
-        targets = F.broadcast(targets)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit(""))))
     draw = F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
