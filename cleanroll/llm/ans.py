@@ -20,6 +20,7 @@ LANES = 512
 BLOCK_TOKENS = 1 << 17
 CHECKPOINT_STEPS = 128
 FILES_GB = 0.25  # GB of ids a file stands for, about
+ROW_GROUP = 8 << 20  # bytes of blocks that a reader may take apart from the rest of a file
 LOW = np.uint64(1 << 31)
 WORD = np.uint64(32)
 MAGIC = b"ANS1"
@@ -199,7 +200,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1) -> No
             yield flush()
 
     ordered = tokenized.repartitionByRange(files, "doc_id", F.xxhash64("ids")).sortWithinPartitions("doc_id", F.xxhash64("ids"))
-    ordered.mapInArrow(write, schema).write.parquet(f"{path}/blocks")
+    # Small row groups: a writer holds one in memory, and a file is read by several tasks, each with a few blocks at a time.
+    ordered.mapInArrow(write, schema).write.option("parquet.block.size", ROW_GROUP).parquet(f"{path}/blocks")
 
 
 def read_ids(spark, path: str, ids: bool = False) -> DataFrame:
