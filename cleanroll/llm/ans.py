@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from cleanroll.llm.tokens import encoder
+from cleanroll.llm.tokens import encoder, release
 from cleanroll.session import scratch_root, stage
 
 SCALE = 20  # a table's frequencies add up to 2 ** SCALE
@@ -174,6 +174,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1) -> No
     files = max(1, round(2 * float(counts.sum()) / (FILES_GB * 1e9)), spark.sparkContext.defaultParallelism)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         table = Table(counts)
         shard, block, start = TaskContext.get().partitionId(), 0, 0
         names: list = []
@@ -221,6 +222,7 @@ def read_ids(spark, path: str, ids: bool = False) -> DataFrame:
     schema = f"doc_id {kind}, start long, n_tokens long, ids_crc32 long" + ", ids binary" * ids
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         table = Table(counts)
         for batch in batches:
             for row in range(batch.num_rows):

@@ -130,3 +130,8 @@ def encoder(path: str) -> Encoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
+
+
+def release() -> None:
+    """Lets go of this worker's encoders; Spark reuses workers, and later stages need no cache."""
+    _ENCODERS.clear()
