@@ -140,6 +140,7 @@ def id_counts(tokenized: DataFrame) -> np.ndarray:
     """How often each id occurs in all documents; a task sends a row per id, the driver gets one per id of the vocabulary."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
             for raw, n in zip(batch.column("ids"), batch.column("n_tokens"), strict=True):
