@@ -241,10 +241,14 @@ def links(nodes: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> Data
     text have that text in common. In bands that are then not of one component, members with different labels are compared
     by signature, tile by tile, and the close ones by their texts. A pair is skipped only where both ends are linked
     already or their signatures are far apart, so no link is lost, and copies in one component never meet each other.
+    Texts and signatures of nodes that share no band are left behind at once: later joins move the others only.
     """
     members = stage(band_members(nodes), "members")
-    company = members.groupBy("node").agg(F.sum("n").alias("company"))
-    known = members.join(stage(company, "company"), "node")
+    company = stage(members.groupBy("node").agg(F.sum("n").alias("company")), "company")
+    met = company.select("node")
+    held = stage(nodes.join(met, "node", "left_semi").join(texts.join(met, "node", "left_semi"), "node").select("node", "_sig", "text"), "held")
+    texts = held.select("node", "text")
+    known = members.join(company, "node")
     centres = known.groupBy("band").agg(F.max(F.struct("company", "node")).alias("c")).select("band", F.col("c.node").alias("centre"))
     star = members.join(stage(centres, "centres"), "band").where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
     edges = stage(verified(stage(star, "pairs"), texts, least), "linked")
@@ -253,7 +257,7 @@ def links(nodes: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> Data
     uneven = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band")
     split = stage(labelled.join(stage(uneven, "uneven"), "band"), "split")
     long = stage(long_signatures(texts.join(split.select("node").distinct(), "node")), "long")
-    fresh = stage(close_pairs(split.join(nodes.join(long, "node"), "node")), "pairs")
+    fresh = stage(close_pairs(split.join(held.select("node", "_sig").join(long, "node"), "node")), "pairs")
     return components(edges.union(stage(verified(fresh, texts, least), "linked")))
 
 
