@@ -53,8 +53,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once to the shared folder and return a scan of it.
 
     Used where several outputs are read off one expensive result: each reader
-    prunes to its own columns and a lost executor does not repeat the work.
+    prunes to its own columns and a lost executor does not repeat the work. It is written with zstd: staged texts
+    take the most room in the shared folder.
     """
     path = f"{scratch_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
