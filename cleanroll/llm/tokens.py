@@ -52,9 +52,17 @@ class Encoder:
     def _units(self, text: str) -> list[str] | None:
         if ODD.search(text):
             return None
-        if PLAIN.search(text):
+        # Some capitals have a lower case that is not plain: the test is on what is split.
+        plain = text.lower() if self.folds else text
+        if PLAIN.search(plain):
             return UNIT.findall(text)
-        return SPACELESS.findall(text.lower()) if self.folds else SPACED.findall(text)
+        return SPACELESS.findall(plain) if self.folds else SPACED.findall(text)
+
+    def _small(self, unit: str) -> bool:
+        """Whether a unit is one of plain texts, with a token of its own at its end or a line end beside it."""
+        if unit[-1].isspace() or PLAIN.search(unit.lower() if self.folds else unit):
+            return False
+        return bool((SPACELESS if self.folds else SPACED).fullmatch(unit))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -87,7 +95,7 @@ class Encoder:
             if u is not None:
                 missing.update(u)
         fresh = list(missing.difference(self.cache))  # looks up the few, not the whole cache
-        small = [u for u in fresh if not u[-1].isspace() and not PLAIN.search(u) and (SPACELESS if self.folds else SPACED).fullmatch(u)]
+        small = [u for u in fresh if self._small(u)]
         ids = dict(zip(small, self._plain_ids(small), strict=True))
         rest = [u for u in fresh if u not in ids]
         ids.update(zip(rest, self._ids(rest), strict=True))

@@ -34,6 +34,19 @@ def test_encoder_gives_the_tokenizers_ids(path):
         assert found.tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
+def test_encoder_keeps_capitals_whose_lower_case_is_not_plain(path):
+    odd = [chr(c) for c in range(0x250) if chr(c).isupper() and any(ord(x) > 0x24F for x in chr(c).lower())]
+    assert {"\u0130", "\u018f", "\u0181"} <= set(odd) and len(odd) == 24
+    texts = ["\u0130stanbul \u0130zmir", "\u018fli \u0181ala", *odd, *[f"Plain {c}word, x{c}y 12 {c}{c}" for c in odd]]
+    # Any other character whose lower case is plain, or is not what it was, among plain ones.
+    texts += [f"ab {chr(c)}c d{chr(c)}" for c in range(0x10000) if chr(c).lower() != chr(c) or 0xC0 <= c < 0x250]
+    plain = Tokenizer.from_file(path)
+    for given in (texts, texts[::-1]):  # with and without units known from other texts
+        for text, found in zip(given, Encoder(path).encode(given), strict=True):
+            assert found.tolist() == plain.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
 def base_counts(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
