@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from itertools import product
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -10,8 +11,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# A text without any of these cannot match a rule.
-GATE = ("licen", "copyright", "rights reserved", "public domain", "gpl", "creative commons", " cc ", " cc0 ", "permission is hereby", "redistribution and use", "without warranty")
 # Priorities: a full name with its version, a name, a family, a mere notice.
 EXACT, NAMED, FAMILY, NOTICE = 1, 2, 3, 4
 SCORES = {EXACT: 1.0, NAMED: 0.9, FAMILY: 0.6, NOTICE: 0.3}
@@ -75,7 +74,9 @@ def _rules() -> list[tuple[str, str, str, int]]:
         ("creative commons", "creative commons", "cc", FAMILY),
         ("spdx", "spdx license identifier [0-9a-z]+(?: [0-9]+)*", "spdx", FAMILY),
         ("copyright", "copyright (?:c )?(?:19|20)[0-9]{2}(?: (?:19|20)[0-9]{2})?", "copyright", NOTICE),
-        ("licen", "(?:released|distributed|available|licen[cs]ed) under (?:the |an? )?(?:terms of (?:the )?)?", "license-notice", NOTICE),
+        ("licen", "licen[cs]ed under(?: the| an?)?(?: terms of(?: the)?)?", "license-notice", NOTICE),
+        ("licen", "(?:released|distributed|available) under(?: [^ ]+){1,5} licen[cs]e", "license-notice", NOTICE),
+        ("terms of", "(?:released|distributed|available) under(?: the)? terms of(?: the)?", "license-notice", NOTICE),
         ("licen", "see (?:the )?licen[cs]e(?: file)?(?: for (?:more )?(?:details|information))?", "license-notice", NOTICE),
         ("rights reserved", "(?:some|no) rights reserved", "rights-notice", NOTICE),
     ]
@@ -86,6 +87,21 @@ def _rules() -> list[tuple[str, str, str, int]]:
 
 
 RULES = _rules()
+CHOICE = re.compile(r"\(\?:[^()]*\)\??")
+
+
+def gate_words(rules) -> list[str]:
+    """Texts of which one is in every text that a rule can match: "licen" where a match always holds it, else the rule's keyword."""
+    words = set()
+    for keyword, pattern, _, _ in rules:
+        sure = pattern
+        while CHOICE.search(sure):  # what may be absent or stands beside another choice
+            sure = CHOICE.sub("#", sure)
+        words.add("licen" if re.search(r"licen(?!\?)", sure) else keyword)
+    return sorted(words)
+
+
+GATE = tuple(gate_words(RULES))
 
 
 def _spaces(text: Column) -> Column:
@@ -155,7 +171,7 @@ def scan(docs: DataFrame, rules=RULES) -> DataFrame:
         places.append(F.when(F.contains(text, F.lit(f" {phrase} ")), some))
     rows = rows.withColumn("_base", F.array_compact(F.array(*places)))
     gate = F.lit(False)
-    for word in GATE:
+    for word in GATE if rules is RULES else gate_words(rules):
         gate = gate | F.contains(text, F.lit(word))
     likely = F.filter(_rule_array(rules), lambda r: F.contains(text, r["keyword"]))
     all_found = F.flatten(F.transform(likely, lambda r: _found(text, r)))

@@ -118,6 +118,46 @@ def test_licenses(documents):
     assert len(licenses.RULES) > 200
 
 
+def example(tree, r):
+    """A text that a parsed pattern matches."""
+    out = ""
+    for op, of in tree:
+        if str(op) == "LITERAL":
+            out += chr(of)
+        elif str(op) == "NOT_LITERAL":
+            out += "z"
+        elif str(op) == "SUBPATTERN":
+            out += example(of[3], r)
+        elif str(op) == "BRANCH":
+            out += example(r.choice(of[1]), r)
+        elif str(op) == "IN":
+            kind, x = r.choice(of)
+            out += chr(x) if str(kind) == "LITERAL" else chr(r.randint(*x))
+        else:
+            least, most, of = of
+            out += "".join(example(of, r) for _ in range(r.randint(least, min(most, least + 2))))
+    return out
+
+
+def test_every_license_rule_is_reached(documents):
+    r = random.Random(4)
+    given = [(k, f"so {example(re._parser.parse(rule[1]), r)} end") for k, rule in enumerate(licenses.RULES) for _ in range(3)]
+    given += [(None, t) for t in ("Attribution-ShareAlike 4.0 International", "GNU GFDL 1.3 or later", "you may not redistribute", "Permission to use, copy, modify, and distribute this software for any purpose", "Released under the terms of it", "available under the tree")]
+    got = licenses.scan(documents(given)).collect()
+    assert len(got) == len(given)
+    beats = lambda e, d: e[0] <= d[0] and e[1] >= d[1] and (e[3] < d[3] or e[3] == d[3] and (e[1] - e[0] > d[1] - d[0] or e[4] < d[4]))
+    for row in got:  # all patterns, without gate or keywords
+        norm = f" {' '.join(re.findall('[0-9a-z]+', row.text.lower()))} "
+        found = [
+            (norm[: m.start()].count(" "), norm[: m.end()].count(" "), label, n, k)
+            for k, (_, pattern, label, n) in enumerate(licenses.RULES) for m in re.finditer(f" {pattern}(?= )", norm)
+        ]
+        assert row.doc_id is None or row.doc_id in {d[4] for d in found}, row.text
+        assert sorted(tuple(d) for d in row.detections) == sorted(d for d in found if not any(beats(e, d) for e in found)), row.text
+        assert bool(row.labels) == bool(found) == (row.score > 0)
+    assert [bool(x.labels) for x in sorted((x for x in got if x.doc_id is None), key=lambda x: [t for _, t in given].index(x.text))] == [True] * 5 + [False]
+
+
 def test_mixing(documents):
     rows = [(i, prose(20 + i % 30, i), f"s{i % 4}") for i in range(400)] + [(900, None, None), (901, "a b c", None), (902, "", "zz"), (900, None, None)]
     got = mixing.mix(documents(rows)).collect()
