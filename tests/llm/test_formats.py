@@ -70,6 +70,26 @@ def test_pages(spark):
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+BODY = "".join(f"<p>{'a sentence of the post ' * 8}{i}</p>" for i in range(5))
+POST = "\n\n".join(f"{'a sentence of the post ' * 8}{i}" for i in range(5))
+AROUND = "<nav><a>Menu</a></nav>{}<div id='comments'><p>I disagree</p></div><footer>end</footer>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<article class='post comments-open'>{BODY}</article>", f"<div id='content' class='with-sidebar'><article>{BODY}</article></div>",
+    f"<div id='content' class='with-sidebar'>{BODY}</div>", f"<main class='has-banner'>{BODY}</main>", f"<form id='aspnet'><div class='ad'>Buy</div><article>{BODY}</article></form>",
+    f"<form><div>{BODY}</div><form class='search'><input></form>", f"<div class='page has-menu'><main><div class='share'>Tell</div>{BODY}</main></div>",
+    f"<article>{BODY}</article><div class='comments'><article class='comment'><p>{'I disagree with it ' * 9}</p></article></div>",
+])
+def test_marked_elements_that_hold_the_content_stay(page):
+    assert html.main_text(f"<html><body>{AROUND.format(page)}</body></html>") == POST
+
+
+def test_marked_elements_without_it_go():
+    assert html.main_text("<form><p>Send</p></form><nav>x</nav><div hidden><main>" + BODY + "</main></div><p>" + "left over " * 9) == ("left over " * 9).strip()
+    assert html.main_text("<article class='post comments-open'><p>Short.</article><form>x</form>") == "Short."
+
+
 @pytest.mark.parametrize("n", [1, 511, 513, 70_000, 140_000])
 def test_blocks_round_trip(n):
     g = np.random.default_rng(n)
