@@ -1,9 +1,12 @@
 """Archives, pages, token files and vectors: exact round trips and brute force."""
 
 import math
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
@@ -90,6 +93,15 @@ def test_marked_elements_without_it_go():
     assert html.main_text("<article class='post comments-open'><p>Short.</article><form>x</form>") == "Short."
 
 
+def test_ratio_finds_the_text_of_pages_without_article():
+    """By words, against the same pages with their article tags."""
+    right = kept = whole = 0
+    for page in pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["html"]).column(0).to_pylist():
+        want, got = (Counter(html.main_text(x).split()) for x in (page, re.sub(r"</?article\b[^>]*>", "", page)))
+        right, kept, whole = right + (got & want).total(), kept + got.total(), whole + want.total()
+    assert right > 0.98 * kept and right > 0.95 * whole
+
+
 @pytest.mark.parametrize("n", [1, 511, 513, 70_000, 140_000])
 def test_blocks_round_trip(n):
     g = np.random.default_rng(n)
