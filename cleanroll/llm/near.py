@@ -20,10 +20,10 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
 SIGNATURE = BANDS * ROWS
-# Signatures only rule pairs out: of 125 places, those of bags 0.8 similar agree in fewer than 0.66 with a probability of
-# about 0.0001; of 1,000 places, in fewer than 0.76 with about 0.001.
-ESTIMATE = 0.66
-LONG, LONG_ESTIMATE = 1000, 0.76
+# Signatures only rule pairs out: of 125 places, those of bags 0.8 similar agree in fewer than 0.58 with a probability of
+# about 1e-8; of 1,000 places, in fewer than 0.73 with about 4e-8.
+ESTIMATE = 0.58
+LONG, LONG_ESTIMATE = 1000, 0.73
 TILE = 256
 WORD = re.compile(rb"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")  # ASCII letters and digits, and all that is not ASCII
 SHINGLES_AT_ONCE = 300_000
@@ -240,7 +240,7 @@ def links(nodes: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> Data
     Members of a band are first held against one of them, the one with the most company over all its bands: copies of one
     text have that text in common. In bands that are then not of one component, members with different labels are compared
     by signature, tile by tile, and the close ones by their texts. A pair is skipped only where both ends are linked
-    already or their signatures are far apart, so no link is lost, and copies in one component never meet each other.
+    already or their signatures are far apart (at similarity 0.8 below 1e-7), and copies in one component never meet each other.
     Texts and signatures of nodes that share no band are left behind at once: later joins move the others only.
     """
     members = stage(band_members(nodes), "members")

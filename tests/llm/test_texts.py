@@ -264,6 +264,12 @@ def test_signatures_are_unbiased():
     assert (s[0] == s[2]).all()
 
 
+def test_signatures_rule_out_no_similar_pair():
+    for places, share in ((near.BANDS * near.ROWS, near.ESTIMATE), (near.LONG, near.LONG_ESTIMATE)):
+        under = (k for k in range(places + 1) if k < share * places)
+        assert sum(math.comb(places, k) * 4**k for k in under) / 5**places < 1e-7  # at similarity 0.8 = 4 / 5
+
+
 def test_packing(documents):
     rows = ODD + [(10 + i, prose(5 + 40 * (i % 60), i)) for i in range(150)] + [(500, "word " * 9000), (10, prose(5, 0))]
     plain = Tokenizer.from_file(BYTE_BPE)
