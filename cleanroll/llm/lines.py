@@ -46,13 +46,14 @@ def line_units(docs: DataFrame) -> DataFrame:
         for batch in batches:
             columns: list[list] = [[] for _ in range(7)]
             for row, cell in enumerate(batch.column("text")):
-                text, seen = cell.as_py() or "", set()
-                for unit, (start, end) in enumerate(units_of(text)):
+                text, seen, unit = cell.as_py() or "", set(), 0
+                for start, end in units_of(text):
                     words, digest = digest_of(text[start:end])
-                    if words:
+                    if words:  # a separator without words has no number, so it splits no run
                         for column, value in zip(columns, (row, unit, start, end, words, digest, digest in seen), strict=True):
                             column.append(value)
                         seen.add(digest)
+                        unit += 1
             rows = pa.array(columns[0], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(rows), batch.column("text_hash").take(rows)]

@@ -211,6 +211,12 @@ def test_lines(documents):
     assert lines.removed_spans(documents(rows)).count() == len(rows)
 
 
+def test_a_separator_splits_no_run(documents):
+    rows = [(1, "Six words stand in this line\n---\nand six more in that one"), (2, "Own.\nSix words stand in this line\n* * *\nand six more in that one\nEnd.")]
+    got = {r.doc_id: r.text for r in lines.dedup_lines(documents(rows)).collect()}
+    assert got == {1: rows[0][1], 2: "Own.\nEnd."}
+
+
 def bag(text):
     words = near.words_of(text)
     return Counter(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else Counter()
