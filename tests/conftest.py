@@ -28,8 +28,3 @@ def spark(tmp_path_factory):
 def table(spark):
     """A DataFrame from rows and a DDL schema."""
     return lambda rows, ddl: spark.createDataFrame(rows, ddl)
-
-
-def values(df, *columns):
-    """Sorted rows as tuples."""
-    return sorted((tuple(r) for r in df.select(*(columns or df.columns)).collect()), key=repr)

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import values
+from rows import values
 
 from cleanroll.operators import providers as p
 

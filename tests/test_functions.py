@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import values
+from rows import values
 from pyspark.sql import functions as F
 
 from cleanroll.functions import addresses, periods, text

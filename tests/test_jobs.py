@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import values
+from rows import values
 from pyspark.sql import functions as F
 
 from cleanroll.plans import jobs
