@@ -49,6 +49,15 @@ def scratch_root(spark: SparkSession) -> str:
     return folder
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def write_stage(df: DataFrame, path: str) -> DataFrame:
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once to the shared folder and return a scan of it.
 
@@ -56,6 +65,43 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     prunes to its own columns and a lost executor does not repeat the work. It is written with zstd: staged texts
     take the most room in the shared folder.
     """
-    path = f"{scratch_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return write_stage(df, stage_path(df.sparkSession, name))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the file system that its path names; a missing one is left as it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+class Stages:
+    """Staged tables with an owner: `with Stages(spark) as stages` deletes them all on leaving, also after an error.
+
+    A result that is read later must not hang on them: write it with `stage`, or keep it out of this owner. `drop`
+    deletes tables that no later step reads, so that rounds do not pile up.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = stage_path(self.spark, name)
+        try:
+            staged = write_stage(df, path)
+        except BaseException:
+            delete_path(self.spark, path)
+            raise
+        self._paths[id(staged)] = (staged, path)
+        return staged
+
+    def drop(self, *staged: DataFrame) -> None:
+        for df in staged:
+            _, path = self._paths.pop(id(df))
+            delete_path(self.spark, path)
+
+    def __enter__(self) -> Stages:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.drop(*[df for df, _ in self._paths.values()])
