@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from cleanroll.llm import codebooks
+from cleanroll.llm import codebooks, negatives
 
 VECTORS = "vec_id long, embedding array<float>, label int, code string"
 
@@ -100,3 +100,71 @@ def test_bounds_hold_while_entries_move():
         np.put_along_axis(rest, np.concatenate([bound.code[:, None], bound.near], axis=1).astype(int), np.inf, axis=1)
         assert (bound.outer <= np.sqrt(rest.min(axis=1)) + 1e-6).all()
     assert (used == 0).any() and (used > 0).any()
+
+
+def by_pairs(rows):
+    """Hard negatives of (vec_id, vector, label) from all inner products."""
+    kept = []
+    for i, vector, label in rows:
+        if i is not None and label is not None and vector is not None and all(x is not None and math.isfinite(x) for x in vector):
+            kept.append((i, [math.floor(256 * x) for x in vector], (label + 1) % 10 if i % 7 == 0 else label))
+    out = []
+    for place, (anchor, x, label) in enumerate(kept):
+        if anchor % 100:
+            continue
+        scored = sorted((-sum(a * b for a, b in zip(x, y, strict=False)), i, other) for n, (i, y, other) in enumerate(kept) if n != place)  # noqa: B905
+        for minus, positive, _ in [s for s in scored if s[2] == label][:5]:
+            inside = [s for s in scored if s[2] != label and 30 * -minus <= 100 * -s[0] <= 90 * -minus][:10]
+            out += [(anchor, positive, rank, i, -minus, -score) for rank, (score, i, _) in enumerate(inside, 1)]
+    return sorted(out)
+
+
+def mined(df):
+    return sorted(tuple(r) for r in df.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score").collect())
+
+
+@pytest.fixture(scope="module")
+def mixed():
+    draw = random.Random(8)
+    centres = [[draw.gauss(0, 0.5) for _ in range(6)] for _ in range(8)]
+    rows = [(i, [c + draw.gauss(0, 0.15) for c in draw.choice(centres)], draw.choice([0, 1, 1, 2])) for i in range(0, 2400, 3)]
+    rows += [(5000 + i, [0.25] * 6, 9) for i in range(120)]  # one vector in many rows: ties
+    rows += [(5200, [0.0] * 6, 1), (5300, [0.5], 1), (5301, [], 2), (5400, [-0.3] * 8, 2)]
+    rows += [(300, rows[5][1], 1), (300, rows[5][1], 1), (4, rows[5][1], 2)]  # repeated ids and rows
+    rows += [(None, [0.1] * 6, 1), (6000, None, 1), (6100, [0.1] * 6, None), (6200, [math.nan] * 6, 1), (6300, [None] * 6, 1), (6400, [math.inf] * 6, 1)]
+    return rows
+
+
+def test_negatives_by_brute_force(spark, mixed):
+    assert mined(negatives.mine(vectors(spark, mixed).repartition(3))) == by_pairs(mixed)
+
+
+def test_negatives_over_blocks_tiles_and_clusters(spark, mixed, monkeypatch):
+    for name, value in {"BLOCK_ROWS": 150, "TILE_ROWS": 7, "CLUSTER_ROWS": 3, "STEP": 16}.items():
+        monkeypatch.setattr(negatives, name, value)
+    assert mined(negatives.mine(vectors(spark, mixed).repartition(3))) == by_pairs(mixed)
+
+
+def test_walks_end_before_the_list_does(monkeypatch):
+    import numpy as np
+    import pandas as pd
+
+    draw = np.random.default_rng(2)
+    near, far = draw.normal(0, 5, (40, 8)) + 100, draw.normal(0, 5, (4000, 8)) * [1, -1, 1, -1, 1, -1, 1, -1] + np.tile([100, -100], 4)
+    x = np.rint(np.concatenate([near, far])).astype("<i4")
+    norm = np.sqrt((x.astype(float) ** 2).sum(axis=1))
+    block = pd.DataFrame({"serial": np.arange(len(x)), "vec_id": np.arange(len(x)), "label": 1, "x": [r.tobytes() for r in x], "norm": norm})
+    asked = block[:4].assign(cluster=0, angle=0.05, low=[np.array([negatives.NONE + 1])] * 4, high=[np.array([-negatives.NONE])] * 4)
+    steps = []
+    monkeypatch.setattr(negatives.Wanted, "take", lambda self, live, scores, *rest, take=negatives.Wanted.take: (steps.append(scores.size), take(self, live, scores, *rest)))
+    found = list(negatives.walk(asked, block, np.full((1, 8), 8**-0.5), 5, True))
+    assert sum(len(f[0]) for f in found) == 20 and all((f[2] < 40).all() for f in found)
+    assert sum(steps) == 4 * negatives.STEP  # of 4 x 4,040
+
+
+def test_negatives_of_little(spark):
+    assert negatives.mine(vectors(spark, [])).count() == 0
+    assert negatives.mine(vectors(spark, [(1, [0.1], 1), (2, [0.2], 1)])).count() == 0
+    assert negatives.mine(vectors(spark, [(100, [0.1], 1), (2, [0.2], 2)])).count() == 0
+    with pytest.raises(Exception, match="too long"):
+        negatives.mine(vectors(spark, [(100, [1e6] * 9, 1)]))
