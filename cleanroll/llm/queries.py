@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cleanroll.llm import ans, codebooks, html, licenses, lines, mixing, near, negatives, packing, quality, rabitq, warc
+from cleanroll.llm import ans, codebooks, html, licenses, lines, mixing, near, negatives, packing, quality, rabitq, simhash, warc
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -67,6 +67,10 @@ def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_warc": op2_warc,
@@ -80,8 +84,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lines": op10_lines,
     "op11_codebooks": op11_codebooks,
     "op12_negatives": op12_negatives,
+    "op13_simhash": op13_simhash,
 }
 ORACLES: dict[str, str] = {
     "op2_warc": warc.ORACLE, "op5_rabitq": rabitq.ORACLE, "op7_mixing": mixing.ORACLE, "op11_codebooks": codebooks.ORACLE,
-    "op12_negatives": negatives.ORACLE,
+    "op12_negatives": negatives.ORACLE, "op13_simhash": simhash.ORACLE,
 }
