@@ -31,7 +31,8 @@ def terms(text: Column) -> Column:
 
 
 def weight(term: Column) -> Column:
-    return F.least(F.length(term), F.lit(HEAVIEST)).cast("long")
+    """Its letters, up to HEAVIEST; null for no term."""
+    return F.when(F.length(term) > HEAVIEST, F.lit(HEAVIEST)).otherwise(F.length(term)).cast("long")
 
 
 def tallied(pairs: DataFrame, keys: list[str]) -> DataFrame:
