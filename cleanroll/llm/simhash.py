@@ -129,7 +129,12 @@ def chunk_order(chunks: DataFrame) -> DataFrame:
 
 
 def followed(rows: DataFrame, order: list, nexts: DataFrame, value: Column) -> DataFrame:
-    """`rows` plus `place` in their chunk and `following`, the value of the row after them; the first row follows the last."""
+    """`rows` plus `place` in their chunk and `following`, the value of the row after them; the first row follows the last.
+
+    The rows pass the shuffle by chunk once: the filter, which the joins below would add to some of its readers, makes it
+    the same for all three.
+    """
+    rows = rows.where(F.col("chunk").isNotNull())
     within = Window.partitionBy("chunk").orderBy(*order)
     lined = rows.withColumn("place", F.row_number().over(within)).withColumn("following", F.lead(F.struct(value.alias("v"))).over(within))
     heads = lined.where("place = 1").select(F.col("chunk").alias("next_chunk"), F.struct(value.alias("v")).alias("following"))
