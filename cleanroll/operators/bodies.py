@@ -127,36 +127,12 @@ def flatten(df: DataFrame, shape: Shape, keys: Sequence[str], body: str = "body"
     return parse(df, shape, body).select(*keys, *columns_of(shape))
 
 
-def explode_children(
-    parsed: DataFrame, path: str, fields: Sequence[Field], keys: Sequence[Column | str]
-) -> DataFrame:
-    """Rows of a field that holds one object or an array of them.
-
-    The field was read as text; an object there is read as an array of one. An array
-    with an element that is no object fails as a whole, so it is read once more,
-    element by element: such an element becomes a row of NULLs beside the others.
-    """
-    element = schema_of(fields)
-    text = at(F.col("parsed"), path)
-    one_by_one = F.transform(F.from_json(text, TEXTS), lambda e: F.from_json(e, element))
-    items = F.coalesce(F.from_json(text, T.ArrayType(element)), one_by_one)
-    rows = parsed.select(*keys, F.explode(items).alias("parsed"))
-    return rows.select(
-        *rows.columns[:-1], *[CLEAN[f.clean](at(F.col("parsed"), f.path)).alias(f.column) for f in fields]
-    )
-
-
-def explode_texts(parsed: DataFrame, path: str, column: str, keys: Sequence[Column | str]) -> DataFrame:
-    """Rows of an array of texts; a text alone or a missing field gives none."""
-    return parsed.select(*keys, F.explode(at(F.col("parsed"), path)).alias(column))
-
-
 def texts(column: str, path: str) -> Field:
     return Field(column, path, kind=TEXTS)
 
 
 def nested(path: str) -> Field:
-    """A field kept as JSON text, to be exploded by `explode_children`."""
+    """A field kept as JSON text, whose rows `fanout.children` reads."""
     return Field(path, path)
 
 

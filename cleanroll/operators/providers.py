@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cleanroll.functions.text import truncate_description
 from cleanroll.operators import shapes
-from cleanroll.operators.bodies import at, columns_of, explode_children, explode_texts, flatten, parse
+from cleanroll.operators.bodies import at, columns_of, flatten, parse
+from cleanroll.operators.fanout import Target, children, fan_out, parent, tables_of, texts_of
 
 
 def flatten_email_verdict(df: DataFrame, *keys: str) -> DataFrame:
@@ -72,29 +73,29 @@ def flatten_person_detail(df: DataFrame) -> DataFrame:
     return parse_person_detail(df).select(*columns_of(shapes.PERSON_DETAIL))
 
 
+def person_detail_targets() -> list[Target]:
+    """The parent and its seven children."""
+    root, key = shapes.DETAIL_ROOT, "PersonID"
+    return [
+        parent("person_detail", shapes.PERSON_DETAIL),
+        children("person_detail_current_employment", f"{root}.CurrentEmployment", shapes.CURRENT_EMPLOYMENT, "CurrentPersonID"),
+        children("person_detail_past_employment", f"{root}.PastEmployment", shapes.PAST_EMPLOYMENT, key),
+        children("person_detail_web_reference", f"{root}.WebReference", shapes.WEB_REFERENCE, key, {"Description": truncate_description}),
+        children("person_detail_education", f"{root}.Education", shapes.EDUCATION, key),
+        children("person_detail_certifications", f"{root}.Certifications", shapes.CERTIFICATIONS, key),
+        texts_of("person_detail_industry", f"{root}.Industry", "Industry", key),
+        texts_of("person_detail_top_level_industry", f"{root}.TopLevelIndustry", "TopLevelIndustry", key),
+    ]
+
+
+def person_detail_fan_out(parsed: DataFrame) -> DataFrame:
+    """All rows of the parent and its children in one pass over a `parse_person_detail` result."""
+    return fan_out(parsed, at(F.col("parsed"), f"{shapes.DETAIL_ROOT}.PersonID"), person_detail_targets())
+
+
 def person_detail_tables(parsed: DataFrame) -> dict[str, DataFrame]:
     """The parent and its seven children off one `parse_person_detail` result."""
-    root = shapes.DETAIL_ROOT
-    person = at(F.col("parsed"), f"{root}.PersonID").alias("PersonID")
-
-    def children(name: str, fields, key: Column = person) -> DataFrame:
-        return explode_children(parsed, f"{root}.{name}", fields, [key])
-
-    web = children("WebReference", shapes.WEB_REFERENCE)
-    return {
-        "person_detail": parsed.select(*columns_of(shapes.PERSON_DETAIL)),
-        "person_detail_current_employment": children(
-            "CurrentEmployment", shapes.CURRENT_EMPLOYMENT, person.alias("CurrentPersonID")
-        ),
-        "person_detail_past_employment": children("PastEmployment", shapes.PAST_EMPLOYMENT),
-        "person_detail_web_reference": web.withColumn("Description", truncate_description(F.col("Description"))),
-        "person_detail_education": children("Education", shapes.EDUCATION),
-        "person_detail_certifications": children("Certifications", shapes.CERTIFICATIONS),
-        "person_detail_industry": explode_texts(parsed, f"{root}.Industry", "Industry", [person]),
-        "person_detail_top_level_industry": explode_texts(
-            parsed, f"{root}.TopLevelIndustry", "TopLevelIndustry", [person]
-        ),
-    }
+    return tables_of(person_detail_fan_out(parsed), person_detail_targets())
 
 
 def parse_domain(df: DataFrame) -> DataFrame:
@@ -108,11 +109,17 @@ def flatten_domain(df: DataFrame) -> DataFrame:
     return parse_domain(df).select(*columns_of(shapes.DOMAIN))
 
 
+def domain_targets() -> list[Target]:
+    """The parent and its four children."""
+    lists = [texts_of(f"domain_{column}", path, column, "id") for column, path in shapes.DOMAIN_LISTS.items()]
+    return [parent("domain", shapes.DOMAIN), *lists]
+
+
+def domain_fan_out(parsed: DataFrame) -> DataFrame:
+    """All rows of the parent and its children in one pass over a `parse_domain` result."""
+    return fan_out(parsed, F.col("parsed")["id"], domain_targets())
+
+
 def domain_tables(parsed: DataFrame) -> dict[str, DataFrame]:
     """The parent and its four children off one `parse_domain` result."""
-    identity = F.col("parsed")["id"].alias("id")
-    children = {
-        f"domain_{column}": explode_texts(parsed, path, column, [identity])
-        for column, path in shapes.DOMAIN_LISTS.items()
-    }
-    return {"domain": parsed.select(*columns_of(shapes.DOMAIN)), **children}
+    return tables_of(domain_fan_out(parsed), domain_targets())

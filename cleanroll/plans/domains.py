@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from cleanroll.functions.text import domain_request
-from cleanroll.operators.providers import domain_tables, parse_domain
+from cleanroll.operators.fanout import staged_fan_out, tables_of
+from cleanroll.operators.providers import domain_fan_out, domain_targets, parse_domain
 from cleanroll.operators.sets import minus_distinct, union_by_position
-from cleanroll.session import stage
 from cleanroll.sources.answers import answers
 
 PROVIDER = "domain"
@@ -25,5 +25,6 @@ def domain_details(candidates: DataFrame, landed: DataFrame, fetched_since=None)
 
 
 def domain_enrichment(details: DataFrame, staged: bool = True) -> dict[str, DataFrame]:
-    """Parent and four children; staged, the bodies are fetched and parsed once."""
-    return domain_tables(stage(details, "domain") if staged else details)
+    """Parent and four children; staged, the bodies are fetched, parsed and fanned out once."""
+    fanned = domain_fan_out(details)
+    return tables_of(staged_fan_out(fanned, "domain") if staged else fanned, domain_targets())

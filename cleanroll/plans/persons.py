@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from cleanroll.functions.periods import DAY, changed_in
 from cleanroll.functions.text import detail_request, match_request
+from cleanroll.operators.fanout import staged_fan_out, tables_of
 from cleanroll.operators.landing import land
-from cleanroll.operators.providers import flatten_person_match, parse_person_detail, person_detail_tables
+from cleanroll.operators.providers import flatten_person_match, parse_person_detail, person_detail_fan_out, person_detail_targets
 from cleanroll.operators.sets import distinct_keys, not_in, not_recent, own_shuffle
-from cleanroll.session import stage
 from cleanroll.sources.answers import answers
 
 MATCH, DETAIL = "person_match", "person_detail"
@@ -49,5 +49,7 @@ def person_details(ids: DataFrame, landed: DataFrame, fetched_since=None) -> Dat
 
 
 def person_detail(details: DataFrame, staged: bool = True) -> dict[str, DataFrame]:
-    """Parent and children. Staged, the bodies are fetched and parsed once for all eight tables."""
-    return person_detail_tables(stage(details, "person_detail") if staged else details)
+    """Parent and children. Staged, the bodies are fetched, parsed and fanned out once for all eight tables, and each
+    table reads its own rows alone."""
+    fanned = person_detail_fan_out(details)
+    return tables_of(staged_fan_out(fanned, "person_detail") if staged else fanned, person_detail_targets())

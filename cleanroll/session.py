@@ -53,19 +53,20 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def write_stage(df: DataFrame, path: str) -> DataFrame:
-    df.write.option("compression", "zstd").parquet(path)
+def write_stage(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write `df` once to the shared folder and return a scan of it.
 
     Used where several outputs are read off one expensive result: each reader
     prunes to its own columns and a lost executor does not repeat the work. It is written with zstd: staged texts
     take the most room in the shared folder.
     """
-    return write_stage(df, stage_path(df.sparkSession, name))
+    return write_stage(df, stage_path(df.sparkSession, name), partition_by)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

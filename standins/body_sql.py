@@ -38,12 +38,17 @@ def columns(root: str, names, clean: str = "as_is", source: str = "j", prefix: s
     return ", ".join(f"{at(dot + path, clean, source)} as {prefix}{column}" for column, path in pairs)
 
 
-def items(path: str) -> str:
-    """A list of JSON elements: of an array its own, of an object itself."""
+def items(path: str, alone: bool = True) -> str:
+    """A list of JSON elements: of an array its own; of an object itself, if it may stand alone."""
     value, kind = f"json_extract(j, '$.{path}')", f"json_type(j, '$.{path}')"
-    return f"unnest(case when {kind} = 'ARRAY' then cast({value} as json[]) when {kind} = 'OBJECT' then [{value}] end)"
+    return f"case when {kind} = 'ARRAY' then cast({value} as json[])" + (f" when {kind} = 'OBJECT' then [{value}]" if alone else "") + " end"
 
 
-def list_items(path: str) -> str:
-    value, kind = f"json_extract(j, '$.{path}')", f"json_type(j, '$.{path}')"
-    return f"unnest(case when {kind} = 'ARRAY' then cast({value} as json[]) end)"
+def cells(target: str, source: str, key: str, columns: dict[str, str], elements: str | None = None) -> str:
+    """`target, key, ordinal, column, value` of a table: its columns by name, each an expression over `j`, or over the
+    element `e` of the list `elements`."""
+    names = ", ".join(f"'{c}'" for c in columns)
+    rows = f"select {key} as key, 0 as ordinal, j from {source}"
+    if elements:
+        rows = f"select key, unnest(l) as e, unnest(range(len(l))) as ordinal from (select {key} as key, {elements} as l from {source})"
+    return f"select '{target}' as target, key, cast(ordinal as int) as ordinal, unnest([{names}]) as \"column\", unnest([{', '.join(columns.values())}]) as value from ({rows})"

@@ -12,6 +12,8 @@ from cleanroll.functions.emails import valid_email
 from cleanroll.functions.periods import MONTH, changed_in, shifted_date, since
 from cleanroll.functions.phones import e164, standardise
 from cleanroll.operators import joins, providers, sets
+from cleanroll.operators.bodies import at as at_path
+from cleanroll.operators.fanout import cell_rows, fan_out
 from cleanroll.operators.landing import land, standardisation_log
 from cleanroll.plans import addresses, audit, domains, emails, persons, phones
 from cleanroll.session import scratch_root, stage
@@ -21,7 +23,7 @@ from cleanroll.sources.settings import settings_table
 from cleanroll.sources.tables import ParquetTables
 from standins import bodies as sb
 from standins import tables as st
-from standins.body_sql import answered, at, columns, items, list_items, readable
+from standins.body_sql import answered, at, cells, columns, items, readable
 from standins.phone_sql import standardised
 from standins.registry import QUERIES, Tables, query
 from standins.tables import DAYS, EVENT_RUN_DATE, RUN_DATE, RUN_TS, oracle
@@ -103,43 +105,82 @@ def _(t):
     return t.spark.read.parquet(sink.path("staging"))
 
 
+def renamed(steps: dict[str, str], suffix: str) -> dict[str, str]:
+    """The same steps under other names, for a second provider in one query."""
+    import re
+
+    names = "|".join(steps)
+    return {k + suffix: re.sub(rf"\b(from|join) ({names})\b", rf"\g<1> \g<2>{suffix}", v) for k, v in steps.items()}
+
+
 DETAIL_ANSWERED = {**answered("detail_landed"), **readable(rejects=("ErrorMessage",))}
 DETAIL_STEPS = {
     **DETAIL_ANSWERED,
     "people": f"select *, {at('PersonDetailRequest.PersonID')} as PersonID from bodies "
               f"where {at('PersonDetailRequest.PersonID')} <> ''",
 }
-DETAIL_FIELDS = {
+JOB = {
+    **{n: n for n in ("JobTitle", "JobFunction", "ManagementLevel", "FromDate", "ToDate")},
+    **{n: f"Company.{n}" for n in ("CompanyID", "ZoomCompanyUrl", "CompanyDetailXmlUrl", "CompanyName", "Phone", "Fax", "Website")},
+    **{f"Address{n}": f"Company.CompanyAddress.{n}" for n in ("Street", "City", "State", "Zip", "CountryCode")},
+}
+CURRENT_JOB_NAMES = {
+    "JobFunction": "Currentjobfunctiondescription", "ManagementLevel": "Currentmanagementleveldescription", "Phone": "CurrentCompanyPhone", "Fax": "CurrentCompanyFax"}
+CHILD_COLUMNS = {
+    "CurrentEmployment": {CURRENT_JOB_NAMES.get(c, f"Current{c}"): p for c, p in JOB.items()},
+    "PastEmployment": {("Zip" if c == "AddressZip" else c): p for c, p in JOB.items()},
+    "WebReference": {n: n for n in ("Title", "Url", "Description", "Date")},
+    "Education": {"School": "School", "GraduationDate": "GraduationDate", "Degree": "EducationDegree.Degree", "AreaOfStudy": "EducationDegree.AreaOfStudy"},
+    "Certifications": {n: n for n in ("CertificationName", "OrganizationName", "YearReceived")},
+}
+DETAIL_CHILDREN = {
     "person_detail_current_employment": "CurrentEmployment", "person_detail_past_employment": "PastEmployment",
     "person_detail_web_reference": "WebReference", "person_detail_education": "Education",
     "person_detail_certifications": "Certifications",
 }
 DETAIL_LISTS = {"person_detail_industry": "Industry", "person_detail_top_level_industry": "TopLevelIndustry"}
+DOMAIN_LISTS = {"domainAliases": "domainAliases", "tags": "tags", "sitephoneNumbers": "site.phoneNumbers", "siteemailAddresses": "site.emailAddresses"}
+
 
+def _child_cells(target: str, name: str) -> str:
+    values = {c: at(p, source="e") for c, p in CHILD_COLUMNS[name].items()}
+    if name == "WebReference":
+        text = values["Description"]
+        values["Description"] = f"case when length({text}) >= 500 then substring({text}, 1, 498) else {text} end"
+    return cells(target, "people", "PersonID", values, items(f"PersonDetailRequest.{name}"))
 
-def _detail_counts() -> str:
-    parts = ["select 'person_detail' as target, PersonID, 1 as one from people"]
-    for target, name in DETAIL_FIELDS.items():
-        parts.append(f"select '{target}', PersonID, 1 from (select PersonID, {items('PersonDetailRequest.' + name)} as e from people)")
-    for target, name in DETAIL_LISTS.items():
-        parts.append(f"select '{target}', PersonID, 1 from (select PersonID, {list_items('PersonDetailRequest.' + name)} as e from people)")
-    return "select target, PersonID, count(*) as n from (" + " union all ".join(parts) + ") group by 1, 2"
+
+def _detail_list_cells(target: str, name: str) -> str:
+    return cells(target, "people", "PersonID", {name: "e->>'$'"}, items(f"PersonDetailRequest.{name}", alone=False))
+
+
+def _domain_list_cells(target: str, name: str) -> str:
+    return cells(target, "companies", at("id"), {name: "e->>'$'"}, items(DOMAIN_LISTS[name], alone=False))
+
+
+def _detail_cells() -> str:
+    """All eight tables, cell by cell."""
+    parts = [cells("person_detail", "people", at("PersonDetailRequest.PersonID"), {n: at(f"PersonDetailRequest.{n}") for n in sb.DETAIL_NAMES})]
+    parts += [_child_cells(target, name) for target, name in DETAIL_CHILDREN.items()]
+    return " union all ".join([*parts, *[_detail_list_cells(target, name) for target, name in DETAIL_LISTS.items()]])
 
 
 def _all_details(t: Tables) -> DataFrame:
     return latest_bodies(t.detail_landed, "person_detail")
 
 
-@query("fan_out_children", oracle(_detail_counts(), "detail_landed", **DETAIL_STEPS))
+@query("fan_out_children", oracle(f'select target, key, "column", value, count(*) as n from ({_detail_cells()}) group by all', "detail_landed", **DETAIL_STEPS))
 def _(t):
     sink = fresh_sink(t, "fan_out")
     outputs = persons.person_detail(providers.parse_person_detail(_all_details(t)))
     append_all(outputs, sink)
-    written = [
-        t.spark.read.parquet(sink.path(name)).select(F.lit(name).alias("target"), F.col(df.columns[0]).alias("PersonID"))
-        for name, df in outputs.items()
-    ]
-    return reduce(DataFrame.unionByName, written).groupBy("target", "PersonID").agg(F.count(F.lit(1)).alias("n"))
+    written = []
+    for name, df in outputs.items():
+        table, key = t.spark.read.parquet(sink.path(name)), df.columns[0]
+        own = [c for c in df.columns if c != key or name == "person_detail"]
+        pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in own])).alias("c")
+        written.append(table.select(F.lit(name).alias("target"), F.col(key).alias("key"), pairs).select("target", "key", "c.column", "c.value"))
+    return reduce(DataFrame.unionByName, written).groupBy("target", "key", "column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 RUN_LOG = (
@@ -602,13 +643,23 @@ def _(t):
     return providers.flatten_person_detail(_all_details(t))
 
 
-def _domain_columns() -> str:
-    out = []
+def _domain_values() -> dict[str, str]:
+    out = {}
     for group, names in sb.DOMAIN_GROUPS.items():
         for n in names:
             clean = "as_is" if n == "indexedAt" else "null_text"
-            out.append(f"{at(f'{group}.{n}' if group else n, clean)} as {group}{'type1' if n == 'type' else n}")
-    return ", ".join(out)
+            out[f"{group}{'type1' if n == 'type' else n}"] = at(f"{group}.{n}" if group else n, clean)
+    return out
+
+
+def _domain_columns() -> str:
+    return ", ".join(f"{value} as {column}" for column, value in _domain_values().items())
+
+
+def _domain_cells() -> str:
+    """All five tables, cell by cell."""
+    parts = [cells("domain", "companies", at("id"), _domain_values())]
+    return " union all ".join([*parts, *[_domain_list_cells(f"domain_{name}", name) for name in DOMAIN_LISTS]])
 
 
 DOMAIN_STEPS = {
@@ -617,6 +668,12 @@ DOMAIN_STEPS = {
 }
 
 
+DOMAIN_BESIDE = {
+    **renamed(answered("domain_landed"), "_d"), **renamed(readable("latest_d", ("ErrorMessage",)), "_d"),
+    "companies": f"select * from bodies_d where {at('id', 'null_text')} <> ''",
+}
+
+
 def _all_domains(t: Tables) -> DataFrame:
     return latest_bodies(t.domain_landed, "domain")
 
@@ -626,46 +683,24 @@ def _(t):
     return providers.flatten_domain(_all_domains(t))
 
 
-JOB_PATHS = {
-    "JobTitle": "JobTitle", "JobFunction": "Currentjobfunctiondescription", "ManagementLevel": "Currentmanagementleveldescription",
-    "FromDate": "CurrentFromDate", "ToDate": "CurrentToDate", "Company.CompanyID": "CurrentCompanyID",
-    "Company.ZoomCompanyUrl": "CurrentZoomCompanyUrl", "Company.CompanyDetailXmlUrl": "CurrentCompanyDetailXmlUrl",
-    "Company.CompanyName": "CurrentCompanyName", "Company.Phone": "CurrentCompanyPhone", "Company.Fax": "CurrentCompanyFax",
-    "Company.Website": "CurrentWebsite", "Company.CompanyAddress.Street": "CurrentAddressStreet",
-    "Company.CompanyAddress.City": "CurrentAddressCity", "Company.CompanyAddress.State": "CurrentAddressState",
-    "Company.CompanyAddress.Zip": "CurrentAddressZip", "Company.CompanyAddress.CountryCode": "CurrentAddressCountryCode",
-}
-JOB_COLUMNS = columns("", {("CurrentJobTitle" if p == "JobTitle" else c): p for p, c in JOB_PATHS.items()}, source="e")
-
-
-def _children(name: str) -> dict[str, str]:
-    return {**DETAIL_STEPS, "children": f"select PersonID, {items('PersonDetailRequest.' + name)} as e from people"}
-
-
-@query("explode_object_or_array", oracle(f"select PersonID as CurrentPersonID, {JOB_COLUMNS} from children", "detail_landed", **_children("CurrentEmployment")))
+@query("explode_object_or_array", oracle(
+    " union all ".join(_child_cells(target, name) for target, name in DETAIL_CHILDREN.items()), "detail_landed", **DETAIL_STEPS))
 def _(t):
-    return providers.person_detail_tables(providers.parse_person_detail(_all_details(t)))["person_detail_current_employment"]
+    wanted = [x for x in providers.person_detail_targets() if x.name in DETAIL_CHILDREN]
+    parsed = providers.parse_person_detail(_all_details(t))
+    return cell_rows(fan_out(parsed, at_path(F.col("parsed"), "PersonDetailRequest.PersonID"), wanted), wanted)
 
 
 @query("explode_scalar_array", oracle(
-    "select 'domainAliases' as list, id, e->>'$' as item from (select json_extract_string(j, '$.id') as id, " + list_items("domainAliases") + " as e from companies) "
-    "union all select 'sitephoneNumbers', id, e->>'$' from (select json_extract_string(j, '$.id') as id, " + list_items("site.phoneNumbers") + " as e from companies)",
-    "domain_landed", **DOMAIN_STEPS))
-def _(t):
-    outputs = providers.domain_tables(providers.parse_domain(_all_domains(t)))
-    lists = [
-        outputs[f"domain_{name}"].select(F.lit(name).alias("list"), "id", F.col(name).alias("item"))
-        for name in ("domainAliases", "sitephoneNumbers")
-    ]
-    return reduce(DataFrame.unionByName, lists)
-
-
-def renamed(steps: dict[str, str], suffix: str) -> dict[str, str]:
-    """The same steps under other names, for a second provider in one query."""
-    import re
-
-    names = "|".join(steps)
-    return {k + suffix: re.sub(rf"\b(from|join) ({names})\b", rf"\g<1> \g<2>{suffix}", v) for k, v in steps.items()}
+    " union all ".join([*[_detail_list_cells(x, n) for x, n in DETAIL_LISTS.items()], *[_domain_list_cells(f"domain_{n}", n) for n in DOMAIN_LISTS]]),
+    "detail_landed", "domain_landed", **DETAIL_STEPS, **DOMAIN_BESIDE))
+def _(t):
+    industries = [x for x in providers.person_detail_targets() if x.name in DETAIL_LISTS]
+    people = providers.parse_person_detail(_all_details(t))
+    of_people = cell_rows(fan_out(people, at_path(F.col("parsed"), "PersonDetailRequest.PersonID"), industries), industries)
+    lists = [x for x in providers.domain_targets() if x.name != "domain"]
+    companies = providers.parse_domain(_all_domains(t))
+    return of_people.unionByName(cell_rows(fan_out(companies, F.col("parsed")["id"], lists), lists))
 
 
 # ---------------------------------------------------------------- email dataflows
@@ -940,25 +975,25 @@ DETAIL_OF_MATCH = {
 }
 
 
-@query("person_detail", oracle(
-    "select " + columns("PersonDetailRequest", sb.DETAIL_NAMES) + " from people", *MATCH_TABLES, "enriched_person", "detail_landed", **DETAIL_OF_MATCH))
+@query("person_detail", oracle(_detail_cells(), *MATCH_TABLES, "enriched_person", "detail_landed", **DETAIL_OF_MATCH))
 def _(t):
     matches = persons.person_matches(match_owners(t), t.match_landed)
     ids = persons.detail_ids(matches, t.enriched_person, RUN_DATE, DAYS)
-    return persons.person_detail(persons.person_details(ids, t.detail_landed), staged=False)["person_detail"]
+    return _detail_rows(persons.person_details(ids, t.detail_landed))
+
+
+def _detail_rows(details: DataFrame) -> DataFrame:
+    return cell_rows(providers.person_detail_fan_out(details), providers.person_detail_targets())
 
 
-@query("person_detail_bulk", oracle(
-    "select PersonID, " + columns("", {"Title": "Title", "Url": "Url", "Date": "Date"}, source="e") + ", "
-    "case when length(e->>'$.Description') >= 500 then substring(e->>'$.Description', 1, 498) else e->>'$.Description' end as Description from children",
-    "detail_landed", **_children("WebReference")))
+@query("person_detail_bulk", oracle(_detail_cells(), "detail_landed", **DETAIL_STEPS))
 def _(t):
-    return persons.person_detail(persons.person_details(t.person_ids, t.detail_landed), staged=False)["person_detail_web_reference"]
+    return _detail_rows(persons.person_details(t.person_ids, t.detail_landed))
 
 
 # ---------------------------------------------------------------- domains, addresses
 @query("domain_enrichment", oracle(
-    f"select {_domain_columns()} from companies", "websites", "enrichment_email_history", "email_history", "known_domains", "domain_landed",
+    _domain_cells(), "websites", "enrichment_email_history", "email_history", "known_domains", "domain_landed",
     candidates="select website from websites union select domainpart from enrichment_email_history union select domainpart from email_history "
                "except select domain from known_domains",
     **answered("domain_landed"),
@@ -967,7 +1002,7 @@ def _(t):
     companies=f"select * from bodies2 where {at('id', 'null_text')} <> ''"))
 def _(t):
     wanted = domains.domain_candidates(t.websites, t.enrichment_email_history, t.email_history, known=t.known_domains)
-    return domains.domain_enrichment(domains.domain_details(wanted, t.domain_landed), staged=False)["domain"]
+    return cell_rows(providers.domain_fan_out(domains.domain_details(wanted, t.domain_landed)), providers.domain_targets())
 
 
 ADDRESS_LIST = "CurrentCompanyID, street1_name, street2_name, street3_name, street4_name, street5_name, city, country, state, postal_code"

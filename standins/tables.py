@@ -94,7 +94,7 @@ DETAIL_KEY = (
 )
 DOMAIN_KEY = "concat('domain=', website, '&outputFormat=json')"
 
-PERSON_ID = "concat('P', length(email_address), '-', substring(md5(email_address), 1, 3))"
+PERSON_ID = "concat('P', length(email_address), '-', substring(md5(email_address), 1, 16))"
 
 _LINE = "lpad(cast(o_custkey % 10000 as string), 4, '0')"
 NUMBER_FORMS = [national("o_custkey"), "'2125550100'", f"concat('207946', {_LINE})", f"concat('17018', {_LINE})"]
@@ -102,6 +102,7 @@ COUNTRY_OF_ROW = pick("o_orderkey % 8", "'US'", "'GB'", "'FR'", "'DE'", "'IN'",
 FETCHED = "timestamp '2001-07-31 00:00:00'"
 ADDRESS_NAMES = ["street1_name", "street2_name", "street3_name", "street4_name", "street5_name", "city", "country", "state", "postal_code"]
 HOST = "regexp_extract(url, '^https?://([^/?#]+)', 1)"
+SITE = f"concat('site', page_id, '.', {HOST})"  # one a page, so that the domains grow with the pages
 _STREETS = ", ".join(f"substring(CurrentAddressStreet, {1 + 100 * i}, 100) as street{i + 1}_name" for i in range(5))
 _CUT = (
     "substring(CurrentAddressCity, 1, 100) as city, substring(CurrentAddressCountryCode, 1, 255) as country, "
@@ -120,7 +121,7 @@ TABLES: dict[str, str] = {
                     "o_orderdate as updated_date from @orders",
     "email_batch": "select l_orderkey as person_email_key from @lineitem where l_returnflag <> 'A'",
     "email_history": "select l_orderkey as person_email_key, l_shipdate as updated_date, "
-                     "concat('mail', l_suppkey % 40, '.example.com') as domainpart from @lineitem "
+                     "concat('mail', l_suppkey, '.example.com') as domainpart from @lineitem "
                      "where l_returnflag = 'R' and l_linestatus = 'F'",
     "junk": "select 'noreply@mail.example.com' as email_address from @region union all "
             "select concat('office', n_nationkey, '@site.example.com') from @nation where n_nationkey % 2 = 0",
@@ -129,7 +130,7 @@ TABLES: dict[str, str] = {
     "enrichment_batch": "select event_id as enrichment_api_person_email_key from @events where event_type <> 'view' union all "
                         "select event_id from @events where event_type = 'signup'",
     "enrichment_email_history": "select event_id as enrichment_api_person_email_key, ts as updated_date, "
-                                "concat('mail', user_id % 60, '.example.com') as domainpart from @events where event_type = 'signup' and value > 20",
+                                "concat('mail', user_id, '.example.com') as domainpart from @events where event_type = 'signup' and value > 20",
     "event_email_history": "select event_id + 1 as person_email_key, ts as updated_date from @events where event_type = 'error'",
     # phones and places
     "person_phone": f"select o_orderkey as person_phone_key, o_custkey as person_key, {phone_of('o_custkey', 'o_orderkey')} as telephone_number, "
@@ -167,8 +168,8 @@ TABLES: dict[str, str] = {
     "detail_landed": landed("person_detail", "person_ids", "person_id", DETAIL_KEY, FETCHED),
     "enriched_person": f"select {PERSON_ID} as person_id, updated_date from person_email where person_email_key % 7 = 0 and email_address is not null",
     "bridged_person": "select c_custkey as person_key from @customer where c_custkey % 4 = 0 union all select c_custkey from @customer where c_custkey % 8 = 0",
-    "websites": f"select {HOST} as website from @pages union all select case when r_regionkey < 0 then r_name end from @region",
-    "known_domains": f"select {HOST} as domain from @pages where page_id % 3 = 0 union all select case when n_nationkey < 0 then n_name end from @nation",
+    "websites": f"select {SITE} as website from @pages union all select case when r_regionkey < 0 then r_name end from @region",
+    "known_domains": f"select {SITE} as domain from @pages where page_id % 3 = 0 union all select case when n_nationkey < 0 then n_name end from @nation",
     "all_websites": "select website from websites where website is not null union select domainpart from email_history union "
                     "select domainpart from enrichment_email_history",
     "domain_landed": landed("domain", "all_websites", "website", DOMAIN_KEY, FETCHED),
