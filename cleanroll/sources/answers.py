@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from cleanroll.operators.sets import only_in
+from cleanroll.sources.current import CurrentAnswers
 
 # Fixed value: the only status whose body counts as an answer.
 STATUS_OK = 200
@@ -33,15 +34,18 @@ def latest_bodies(landed: DataFrame, provider: str, fetched_since=None) -> DataF
     return newest(good_answers(landed, provider, fetched_since)).drop("fetched_at")
 
 
-def answers(keys: DataFrame, landed: DataFrame, provider: str, fetched_since=None, after: str | None = None) -> DataFrame:
+def answers(keys: DataFrame, landed: DataFrame | CurrentAnswers, provider: str, fetched_since=None, after: str | None = None) -> DataFrame:
     """`keys` (with `request_key`) plus `body`; a key without a good answer yields no row.
 
-    The run's keys reduce the landed bodies before any is sorted or grouped. `after`
-    names a timestamp column of `keys`: only an answer fetched later than it counts,
-    and the column is dropped.
+    `landed` is the table of all landed responses, whose bodies the run's keys reduce before any is sorted or grouped, or
+    the table of current answers, which holds one a key. `after` names a timestamp column of `keys`: only an answer
+    fetched later than it counts, and the column is dropped.
     """
-    asked = only_in(good_answers(landed, provider, fetched_since), "request_key", keys)
-    found = keys.join(newest(asked), "request_key")
+    if isinstance(landed, CurrentAnswers):
+        found = landed.answers(keys, provider, fetched_since)
+    else:
+        asked = only_in(good_answers(landed, provider, fetched_since), "request_key", keys)
+        found = keys.join(newest(asked), "request_key")
     if after is not None:
         found = found.where(F.col("fetched_at") > F.col(after)).drop(after)
     return found.drop("fetched_at")

@@ -80,7 +80,7 @@ def _(t):
 def _(t):
     wanted = sets.distinct_keys(t.person_email, "email_address")
     keys = wanted.withColumn("request_key", txt.email_request(F.col("email_address")))
-    return answers(keys, t.email_landed, "email").select("email_address", "body")
+    return answers(keys, t.current("email_landed"), "email").select("email_address", "body")
 
 
 # ---------------------------------------------------------------- sinks
@@ -754,7 +754,7 @@ EMAIL_LANDED = {
 
 def email_staged(t: Tables) -> DataFrame:
     owners = stage(email_owners(t), "email_owners")
-    verdicts = emails.email_verdicts(emails.email_candidates(owners, t.junk), t.email_landed)
+    verdicts = emails.email_verdicts(emails.email_candidates(owners, t.junk), t.current("email_landed"))
     return emails.email_landing(verdicts, owners, RUN_TS)
 
 
@@ -851,7 +851,7 @@ PHONE_LANDED = {
 
 def phone_staged(t: Tables) -> DataFrame:
     candidates = stage(phone_candidates(t), "phone_candidates")
-    return phones.phone_landing(phones.phone_verdicts(candidates, t.phone_landed), candidates, RUN_TS)
+    return phones.phone_landing(phones.phone_verdicts(candidates, t.current("phone_landed")), candidates, RUN_TS)
 
 
 @query("phone_landing", oracle(
@@ -961,7 +961,7 @@ def match_owners(t: Tables) -> DataFrame:
     "select * exclude (firstname_, lastname_), firstname_ as firstName, lastname_ as lastName from matched", *MATCH_TABLES, **MATCH_STEPS))
 def _(t):
     owners = stage(match_owners(t), "match_owners")
-    return persons.person_match(persons.person_matches(owners, t.match_landed), owners)
+    return persons.person_match(persons.person_matches(owners, t.current("match_landed")), owners)
 
 
 DETAIL_OF_MATCH = {
@@ -977,7 +977,7 @@ DETAIL_OF_MATCH = {
 
 @query("person_detail", oracle(_detail_cells(), *MATCH_TABLES, "enriched_person", "detail_landed", **DETAIL_OF_MATCH))
 def _(t):
-    matches = persons.person_matches(match_owners(t), t.match_landed)
+    matches = persons.person_matches(match_owners(t), t.current("match_landed"))
     ids = persons.detail_ids(matches, t.enriched_person, RUN_DATE, DAYS)
     return _detail_rows(persons.person_details(ids, t.detail_landed))
 

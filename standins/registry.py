@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from standins.tables import standin
+from cleanroll.sources.current import CurrentAnswers
+from standins.tables import current_answers, standin
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +23,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return standin(self.spark, self.sf_dir, name)
 
+    def current(self, name: str) -> CurrentAnswers:
+        """The current answers of the landed table `name`."""
+        return current_answers(self.spark, self.sf_dir, name)
+
     def __getitem__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
