@@ -57,8 +57,8 @@ def fan_out(parsed: DataFrame, key: Column, targets: Sequence[Target]) -> DataFr
     return by_target.select("t.target", "key", F.posexplode("t.rows").alias("ordinal", "cells"))
 
 
-def staged_fan_out(fanned: DataFrame, name: str) -> DataFrame:
-    """The fan-out written once, a folder a target, so that each table reads its own rows alone."""
+def staged_fan_out(fanned: DataFrame, name: str, stage: Callable[..., DataFrame] = stage) -> DataFrame:
+    """The fan-out written once by `stage`, a folder a target, so that each table reads its own rows alone."""
     return stage(fanned, name, partition_by=("target",))
 
 

@@ -9,25 +9,62 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from typing import TypeVar
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from cleanroll.functions.periods import DAY, MONTH
 from cleanroll.functions.phones import PLAN
 from cleanroll.operators.landing import standardisation_log
-from cleanroll.operators.sets import candidate_funnel, distinct_keys
+from cleanroll.operators.sets import distinct_keys
 from cleanroll.plans import addresses, audit, domains, emails, persons, phones
-from cleanroll.session import stage
-from cleanroll.sinks import TableSink, append_all
+from cleanroll.session import Stages
+from cleanroll.sinks import TableSink
+from cleanroll.sources.current import CurrentAnswers
 from cleanroll.sources.tables import TableSource
 
 Outputs = Mapping[str, DataFrame]
+Result = TypeVar("Result")
 PHONE_HISTORIES = ("person_phone_history", "enrichment_phone_history", "phone_exchange_history")
 
 
+class Progress:
+    """How many rows each step of a run had, counted by the writes themselves, and the tables that it staged.
+
+    The count sits right below a write, in the tasks that write: Spark adds a task's count when it commits its first
+    success, so a retried task counts once.
+    """
+
+    def __init__(self):
+        self.rows: dict[str, int] = {}
+        self._stages: Stages | None = None
+
+    def counted(self, df: DataFrame, name: str, write: Callable[[DataFrame], Result]) -> Result:
+        """What `write` returns of `df`; the rows that it wrote are noted under `name`."""
+        seen = Observation()
+        result = write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+        self.rows[name] = seen.get["rows"]
+        return result
+
+    def stage(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        if self._stages is None:
+            self._stages = Stages(df.sparkSession)
+        return self.counted(df, name, lambda d: self._stages.write(d, name, partition_by))
+
+    def close(self) -> None:
+        if self._stages is not None:
+            self._stages.drop_all()
+            self._stages = None
+
+
 @dataclass(frozen=True)
 class Run:
-    """One run of a job. `days` are signed: -15 looks back 15 days."""
+    """One run of a job. `days` are signed: -15 looks back 15 days.
+
+    Answers fetched before `fetched_since` do not count, so no old body is stamped with today's date. `of_run` names the
+    run whose staged rows a rerun or an escalation works on. `current` gives, by provider, tables of current answers to
+    read in place of all landed responses.
+    """
 
     source: TableSource
     sink: TableSink
@@ -35,62 +72,69 @@ class Run:
     days: Mapping[str, int]
     user: str
     instance: str
+    fetched_since: dt.date | str
     grain: str = DAY
     run_ts: str | None = None
-    fetched_since: str | None = None
+    of_run: str | None = None
     email_timeout: int = 30
     plan: tuple = field(default=PLAN)
+    current: Mapping[str, CurrentAnswers] = field(default_factory=dict)
+    progress: Progress = field(default_factory=lambda: Progress())
 
     def table(self, name: str) -> DataFrame:
         return self.source.table(name)
 
-    def landed(self) -> DataFrame:
-        return self.source.table("landed_responses")
+    def landed(self, provider: str) -> DataFrame | CurrentAnswers:
+        return self.current.get(provider) or self.source.table("landed_responses")
+
+    def staged_before(self, name: str) -> DataFrame:
+        """What the run `of_run` staged."""
+        if self.of_run is None:
+            raise ValueError(f"name the run whose rows of {name} are meant")
+        return self.source.table(name, run=self.of_run)
+
+    def stage(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        """`df` staged until the run ends, its rows counted by the write."""
+        return self.progress.stage(df, name, partition_by)
 
     def batch(self, name: str) -> DataFrame:
         """The batch view of the run's grain."""
         return self.source.table(f"{name}_{'monthly' if self.grain == MONTH else 'daily'}")
 
 
-def _funnel(run: Run, **stages: DataFrame) -> Outputs:
-    """Rows left after each stage, counted on what is staged already."""
-    counted = candidate_funnel(stages).withColumn("instance_name", F.lit(run.instance))
-    return {"run_funnel": counted.select("instance_name", "stage", "rows")}
-
-
 def email_verification(run: Run) -> Outputs:
-    owners = stage(
+    owners = run.stage(
         emails.email_owners(
             run.batch("email_batch"), run.table("person_email"), run.table("person_email_history"),
             run.run_date, run.days["email"], run.grain,
         ),
-        "email_owners",
+        "owners",
     )
     return _land_emails(run, owners, "person_email_verification_staging")
 
 
 def email_verification_enriched(run: Run) -> Outputs:
     # The enrichment batch has one view for both grains.
-    owners = stage(
+    owners = run.stage(
         emails.enriched_email_owners(
             run.table("enrichment_email_batch_daily"), run.table("enrichment_email"), run.table("person_email_history"),
             run.table("enrichment_email_history"), run.run_date, run.days["email"], run.grain,
         ),
-        "enriched_email_owners",
+        "owners",
     )
     return _land_emails(run, owners, "enrichment_email_verification_staging")
 
 
 def _land_emails(run: Run, owners: DataFrame, target: str) -> Outputs:
-    wanted = stage(emails.email_candidates(owners, run.table("junk_email")), "email_candidates")
-    verdicts = emails.email_verdicts(wanted, run.landed(), run.email_timeout, run.fetched_since)
-    landed = emails.email_landing(verdicts, owners, run.run_ts)
-    return {target: landed, **_funnel(run, owners=owners, candidates=wanted)}
+    wanted = run.stage(emails.email_candidates(owners, run.table("junk_email")), "candidates")
+    verdicts = emails.email_verdicts(wanted, run.landed(emails.PROVIDER), run.email_timeout, run.fetched_since)
+    return {target: emails.email_landing(verdicts, owners, run.run_ts)}
 
 
 def _rerun(staging: str) -> Callable[[Run], Outputs]:
     def job(run: Run) -> Outputs:
-        again = emails.email_rerun(run.table(staging), run.landed(), run.email_timeout, run.run_ts, run.fetched_since)
+        staged = run.staged_before(staging)
+        again = emails.email_rerun(staged, run.landed(emails.PROVIDER), run.email_timeout, run.run_ts, run.fetched_since)
         return {f"{staging}_rerun": again}
 
     return job
@@ -98,34 +142,33 @@ def _rerun(staging: str) -> Callable[[Run], Outputs]:
 
 def phone_hygiene(run: Run) -> Outputs:
     """Candidates, log, verdicts, and the escalation of this run's own verdicts to the second provider."""
-    candidates = stage(
+    candidates = run.stage(
         phones.phone_candidates(
             run.batch("batch"), run.table("person_phone"), run.table("person_address"), run.table("address"),
             run.table("country_synonym"), *[run.table(h) for h in PHONE_HISTORIES],
             run_date=run.run_date, days=run.days["phone"], grain=run.grain, plan=run.plan,
         ),
-        "phone_candidates",
+        "candidates",
     )
-    staged = stage(_land_phones(run, candidates), "phone_verdicts")
+    staged = run.stage(_land_phones(run, candidates), "verdicts")
     escalated = phones.phone_escalation(
-        staged, run.table("phone_exchange_history"), run.landed(), run.run_date, run.days["phone_exchange"],
+        staged, run.table("phone_exchange_history"), run.landed(phones.EXCHANGE), run.run_date, run.days["phone_exchange"],
         run.run_ts, run.fetched_since,
     )
     return {
         "phone_standardisation_history": standardisation_log(candidates, run.user, run.run_ts),
         "person_phone_verification_staging": staged,
         "phone_exchange_staging": escalated,
-        **_funnel(run, candidates=candidates, requests=distinct_keys(candidates, phones.NUMBER, "country_code"), verdicts=staged),
     }
 
 
 def phone_hygiene_enriched(run: Run) -> Outputs:
-    candidates = stage(
+    candidates = run.stage(
         phones.phone_candidates_enriched(
             run.table("enrichment_phone"), *[run.table(h) for h in PHONE_HISTORIES],
             run_date=run.run_date, days=run.days["phone"], grain=run.grain, plan=run.plan,
         ),
-        "enriched_phone_candidates",
+        "candidates",
     )
     return {
         "phone_standardisation_history": standardisation_log(candidates, run.user, run.run_ts),
@@ -134,65 +177,64 @@ def phone_hygiene_enriched(run: Run) -> Outputs:
 
 
 def _land_phones(run: Run, candidates: DataFrame) -> DataFrame:
-    verdicts = phones.phone_verdicts(candidates, run.landed(), run.fetched_since)
+    requests = run.stage(distinct_keys(candidates, phones.NUMBER, "country_code"), "requests")
+    verdicts = phones.phone_verdicts(requests, run.landed(phones.VERDICT), run.fetched_since)
     return phones.phone_landing(verdicts, candidates, run.run_ts)
 
 
 def reverse_lookup(run: Run) -> Outputs:
-    candidates = stage(
+    candidates = run.stage(
         phones.reverse_candidates(
             run.table("batch_daily"), run.table("person_phone"), run.table("phone_reverse_history"),
             run.run_date, run.days["phone_reverse"], run.plan,
         ),
-        "reverse_candidates",
+        "candidates",
     )
     return {
         "phone_standardisation_history": standardisation_log(candidates, run.user, run.run_ts),
         "phone_reverse_staging": phones.reverse_lookup(
-            candidates, run.landed(), run.run_ts, run.fetched_since
+            candidates, run.landed(phones.REVERSE), run.run_ts, run.fetched_since
         ),
     }
 
 
 def reverse_escalation(run: Run) -> Outputs:
-    candidates = stage(
+    candidates = run.stage(
         phones.reverse_escalation_candidates(
-            run.table("phone_reverse_staging"), run.table("phone_exchange_history"), run.run_date, run.days["phone_owner"], run.plan
+            run.staged_before("phone_reverse_staging"), run.table("phone_exchange_history"), run.run_date, run.days["phone_owner"], run.plan
         ),
-        "reverse_escalation_candidates",
+        "candidates",
     )
     return {
         "phone_standardisation_history": standardisation_log(candidates, run.user, run.run_ts),
         "phone_owner_staging": phones.reverse_escalation(
-            candidates, run.landed(), run.run_ts, run.fetched_since
+            candidates, run.landed(phones.OWNER), run.run_ts, run.fetched_since
         ),
     }
 
 
 def person_enrichment(run: Run) -> Outputs:
     """Match the persons of the period, then detail the matched ids."""
-    owners = stage(
+    owners = run.stage(
         persons.match_owners(
             run.batch("batch"), run.table("bridged_person"), run.table("person_email"), run.run_date, run.grain
         ),
-        "match_owners",
+        "owners",
     )
-    matches = stage(persons.person_matches(owners, run.landed(), run.fetched_since), "person_matches")
+    requests = run.stage(distinct_keys(owners, *persons.NAME_AND_EMAIL), "requests")
+    matches = run.stage(persons.person_matches(requests, run.landed(persons.MATCH), run.fetched_since), "matches")
     ids = persons.detail_ids(matches, run.table("enrichment_person"), run.run_date, run.days["person_detail"])
-    details = persons.person_details(ids, run.landed(), run.fetched_since)
+    details = persons.person_details(ids, run.landed(persons.DETAIL), run.fetched_since)
     return {
         "person_match": persons.person_match(matches, owners),
-        **persons.person_detail(details),
-        **_funnel(run, owners=owners, requests=distinct_keys(owners, *persons.NAME_AND_EMAIL), matches=matches),
+        **persons.person_detail(details, stage=run.stage),
     }
 
 
 def person_detail_bulk(run: Run) -> Outputs:
     """Detail for a ready list of ids."""
-    details = persons.person_details(
-        run.table("person_detail_request"), run.landed(), run.fetched_since
-    )
-    return persons.person_detail(details)
+    details = persons.person_details(run.table("person_detail_request"), run.landed(persons.DETAIL), run.fetched_since)
+    return persons.person_detail(details, stage=run.stage)
 
 
 def domain_enrichment(run: Run) -> Outputs:
@@ -200,7 +242,7 @@ def domain_enrichment(run: Run) -> Outputs:
         run.table("website_batch_monthly"), run.table("enrichment_email_history"), run.table("person_email_history"),
         known=run.table("known_domain"),
     )
-    return domains.domain_enrichment(domains.domain_details(wanted, run.landed(), run.fetched_since))
+    return domains.domain_enrichment(domains.domain_details(wanted, run.landed(domains.PROVIDER), run.fetched_since), stage=run.stage)
 
 
 def address_load(run: Run) -> Outputs:
@@ -245,8 +287,21 @@ def run_job(name: str, run: Run, entity: str) -> None:
 
     log(audit.STARTED)
     try:
-        append_all(JOBS[name](run), run.sink)
+        run.sink.begin()
+        for table, df in JOBS[name](run).items():
+            run.progress.counted(df, table, lambda d, table=table: run.sink.append(d, table))
+        run.sink.append(funnel_rows(run), "run_funnel")
+        run.sink.commit()
     except Exception:
         log(audit.FAILED)
         raise
+    finally:
+        run.progress.close()
     log(audit.ENDED)
+
+
+def funnel_rows(run: Run) -> DataFrame:
+    """`instance_name, stage, rows`: what the run staged and appended, as its writes counted it."""
+    spark = run.table("run_master").sparkSession
+    rows = [(run.instance, stage, n) for stage, n in run.progress.rows.items()]
+    return spark.createDataFrame(rows, "instance_name string, stage string, rows long")

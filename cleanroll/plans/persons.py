@@ -10,6 +10,7 @@ from cleanroll.operators.fanout import staged_fan_out, tables_of
 from cleanroll.operators.landing import land
 from cleanroll.operators.providers import flatten_person_match, parse_person_detail, person_detail_fan_out, person_detail_targets
 from cleanroll.operators.sets import distinct_keys, not_in, not_recent, own_shuffle
+from cleanroll.session import stage
 from cleanroll.sources.answers import answers
 
 MATCH, DETAIL = "person_match", "person_detail"
@@ -48,8 +49,8 @@ def person_details(ids: DataFrame, landed: DataFrame, fetched_since=None) -> Dat
     return parse_person_detail(answers(keys, landed, DETAIL, fetched_since))
 
 
-def person_detail(details: DataFrame, staged: bool = True) -> dict[str, DataFrame]:
+def person_detail(details: DataFrame, staged: bool = True, stage=stage) -> dict[str, DataFrame]:
     """Parent and children. Staged, the bodies are fetched, parsed and fanned out once for all eight tables, and each
     table reads its own rows alone."""
     fanned = person_detail_fan_out(details)
-    return tables_of(staged_fan_out(fanned, "person_detail") if staged else fanned, person_detail_targets())
+    return tables_of(staged_fan_out(fanned, "person_details", stage) if staged else fanned, person_detail_targets())

@@ -86,10 +86,10 @@ class Stages:
         self.spark = spark
         self._paths: dict[int, tuple[DataFrame, str]] = {}
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
         path = stage_path(self.spark, name)
         try:
-            staged = write_stage(df, path)
+            staged = write_stage(df, path, partition_by)
         except BaseException:
             delete_path(self.spark, path)
             raise
@@ -101,8 +101,11 @@ class Stages:
             _, path = self._paths.pop(id(df))
             delete_path(self.spark, path)
 
+    def drop_all(self) -> None:
+        self.drop(*[df for df, _ in self._paths.values()])
+
     def __enter__(self) -> Stages:
         return self
 
     def __exit__(self, *error) -> None:
-        self.drop(*[df for df, _ in self._paths.values()])
+        self.drop_all()

@@ -5,13 +5,24 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Protocol
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from cleanroll.session import Stages, delete_path
+
+MANIFEST, RUN = "run_commit", "run_id"
+
 
 class TableSink(Protocol):
+    def begin(self) -> None:
+        """Take back what an earlier attempt of this run made visible."""
+
     def append(self, df: DataFrame, name: str) -> None: ...
 
+    def commit(self) -> None:
+        """Make the run's tables visible, all at once."""
+
     def log(self, df: DataFrame, name: str) -> None:
         """Append rows that a rerun must not replace."""
 
@@ -28,7 +39,9 @@ class ParquetSink:
     """Appends to `<root>/<name>`. Appending an empty result adds no rows, so no count is needed.
 
     With a `run`, one name per job and batch, the rows land in their own `run_id=`
-    partition, which a rerun overwrites instead of appending a second copy.
+    partition, which a rerun overwrites instead of appending a second copy. They count from
+    `commit` on: it writes one row to the manifest, by which `CommittedTables` reads. A run that
+    fails between two tables leaves nothing visible, and neither does one that runs again, until it commits.
     """
 
     spark: SparkSession
@@ -42,21 +55,35 @@ class ParquetSink:
     def log(self, df: DataFrame, name: str) -> None:
         df.write.mode("append").parquet(self.path(name))
 
+    def _marker(self) -> str:
+        return f"{self.path(MANIFEST)}/{RUN}={quote(self.run, safe='-_.')}"
+
+    def begin(self) -> None:
+        if self.run is not None:
+            delete_path(self.spark, self._marker())
+
+    def commit(self) -> None:
+        if self.run is not None:
+            self.spark.range(1).select(F.lit(self.run).alias("run")).coalesce(1).write.mode("overwrite").parquet(self._marker())
+
     def append(self, df: DataFrame, name: str) -> None:
         if self.run is None:
             self.log(df, name)
             return
         (
-            df.withColumn("run_id", F.lit(self.run))
+            df.withColumn(RUN, F.lit(self.run))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("run_id")
+            .partitionBy(RUN)
             .parquet(self.path(name))
         )
 
 
 @dataclass(frozen=True)
 class JdbcSink:
+    """Appends over JDBC. The rows are staged first, so that the few connections write a finished table and do not
+    narrow the work before them."""
+
     url: str
     schema: str
     properties: Mapping[str, str] = field(default_factory=dict)
@@ -73,10 +100,17 @@ class JdbcSink:
             "numPartitions": str(self.connections),
         }
 
+    def begin(self) -> None:
+        """A database keeps what was appended; there is no manifest."""
+
+    commit = begin
+
     def append(self, df: DataFrame, name: str) -> None:
-        df.write.format("jdbc").mode("append").options(**self.options(name)).save()
+        with Stages(df.sparkSession) as stages:
+            self.log(stages.write(df, name), name)
 
-    log = append
+    def log(self, df: DataFrame, name: str) -> None:
+        df.write.format("jdbc").mode("append").options(**self.options(name)).save()
 
 
 def append_all(outputs: Mapping[str, DataFrame], sink: TableSink) -> None:

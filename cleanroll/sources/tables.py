@@ -6,16 +6,21 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from cleanroll.sinks import MANIFEST, RUN
 
 
 class TableSource(Protocol):
     def table(
-        self, name: str, columns: Sequence[str] | None = None, where: Column | str | None = None
-    ) -> DataFrame: ...
+        self, name: str, columns: Sequence[str] | None = None, where: Column | str | None = None, run: str | None = None
+    ) -> DataFrame:
+        """The named table; with `run`, that run's rows alone."""
 
 
-def _narrow(df: DataFrame, columns: Sequence[str] | None, where: Column | str | None) -> DataFrame:
+def _narrow(df: DataFrame, columns: Sequence[str] | None, where: Column | str | None, run: str | None = None) -> DataFrame:
+    if run is not None:
+        df = df.where(F.col(RUN) == run).drop(RUN)
     if where is not None:
         df = df.where(where)
     return df.select(*columns) if columns else df
@@ -30,9 +35,39 @@ class ParquetTables:
     suffix: str = ".parquet"
     names: Mapping[str, str] = field(default_factory=dict)
 
-    def table(self, name, columns=None, where=None):
-        physical = self.names.get(name, name)
-        return _narrow(self.spark.read.parquet(f"{self.root}/{physical}{self.suffix}"), columns, where)
+    def path(self, name: str) -> str:
+        return f"{self.root}/{self.names.get(name, name)}{self.suffix}"
+
+    def table(self, name, columns=None, where=None, run=None):
+        return _narrow(self._read(name), columns, where, run)
+
+    def _read(self, name: str) -> DataFrame:
+        """The stored rows; run names that look like numbers or dates stay texts."""
+        df = self.spark.read.parquet(self.path(name))
+        return df.withColumn(RUN, F.col(RUN).cast("string")) if RUN in df.columns else df
+
+
+@dataclass(frozen=True)
+class CommittedTables(ParquetTables):
+    """As `ParquetTables`, but of tables that are partitioned by run only the rows of committed runs.
+
+    The run names become a filter on the partitions: folders of other runs are not read.
+    """
+
+    def committed(self) -> list[str]:
+        """The committed runs, one name a run."""
+        markers = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(MANIFEST)}/*")
+        if not markers.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(markers):
+            return []
+        rows = self.spark.read.schema("run string").parquet(markers.toString()).distinct().collect()
+        return sorted(r.run for r in rows)
+
+    def table(self, name, columns=None, where=None, run=None):
+        df = self.spark.read.parquet(self.path(name))
+        if RUN not in df.columns:
+            return _narrow(df, columns, where)
+        wanted = [r for r in self.committed() if run in (None, r)]
+        return _narrow(df.where(F.col(RUN).cast("string").isin(wanted)).drop(RUN), columns, where)
 
 
 @dataclass(frozen=True)
@@ -82,6 +117,6 @@ class JdbcTables:
             }
         return out
 
-    def table(self, name, columns=None, where=None):
+    def table(self, name, columns=None, where=None, run=None):
         df = self.spark.read.format("jdbc").options(**self.options(name)).load()
-        return _narrow(df, columns, where)
+        return _narrow(df, columns, where, run)

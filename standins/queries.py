@@ -16,11 +16,12 @@ from cleanroll.operators.bodies import at as at_path
 from cleanroll.operators.fanout import cell_rows, fan_out
 from cleanroll.operators.landing import land, standardisation_log
 from cleanroll.plans import addresses, audit, domains, emails, persons, phones
+from cleanroll.plans.jobs import Progress
 from cleanroll.session import scratch_root, stage
 from cleanroll.sinks import ParquetSink, append_all, by_name
 from cleanroll.sources.answers import answers, latest_bodies
 from cleanroll.sources.settings import settings_table
-from cleanroll.sources.tables import ParquetTables
+from cleanroll.sources.tables import CommittedTables, ParquetTables
 from standins import bodies as sb
 from standins import tables as st
 from standins.body_sql import answered, at, cells, columns, items, readable
@@ -83,6 +84,20 @@ def _(t):
     return answers(keys, t.current("email_landed"), "email").select("email_address", "body")
 
 
+def staged_by_run(t: Tables, rows: DataFrame, name: str, key: str) -> DataFrame:
+    """`rows` as the run `this` staged them, beside those of an earlier run and of one that never committed, whose keys
+    are not the same: only what is read by run gives the right result."""
+    root = fresh_sink(t, name).root
+    written = stage(rows, name)
+    for run, moved in (("earlier", 1), ("this", 0), ("broken", 2)):
+        sink = ParquetSink(t.spark, root, run=run)
+        sink.begin()
+        sink.append(written.withColumn(key, F.col(key) + moved), "staging")
+        if run != "broken":
+            sink.commit()
+    return CommittedTables(t.spark, root, suffix="").table("staging", run="this")
+
+
 # ---------------------------------------------------------------- sinks
 @query("append_table", oracle(
     "select person_email_key, email_address from person_email union all select person_email_key, email_address from person_email "
@@ -775,7 +790,8 @@ EMAIL_AGAIN = {
     f"join flat2 n on n.request_key = {st.EMAIL_KEY}", *EMAIL_TABLES, "email_landed", "rerun_landed", **EMAIL_OWNERS, **EMAIL_FLAT, **EMAIL_LANDED, **EMAIL_AGAIN))
 def _(t):
     landed = t.email_landed.unionByName(t.rerun_landed)
-    return written_at(emails.email_rerun(stage(email_staged(t), "email_verdicts"), landed, run_ts=RUN_TS), emails.DATE)
+    staged = staged_by_run(t, email_staged(t), "email_verdicts", "person_key")
+    return written_at(emails.email_rerun(staged, landed, run_ts=RUN_TS), emails.DATE)
 
 
 @query("candidate_funnel", oracle(
@@ -783,13 +799,13 @@ def _(t):
     "select 'owners', count(*) from owners union all select 'distinct', count(distinct email_address) from owners union all "
     "select 'candidates', count(*) from candidates", *EMAIL_TABLES, **EMAIL_OWNERS))
 def _(t):
-    owners = stage(email_owners(t), "email_owners")
-    return sets.candidate_funnel({
-        "changed": changed_in(t.person_email, "updated_date", RUN_DATE, MONTH),
-        "owners": owners,
-        "distinct": sets.distinct_keys(owners, "email_address"),
-        "candidates": emails.email_candidates(owners, t.junk),
-    })
+    progress = Progress()
+    progress.stage(changed_in(t.person_email, "updated_date", RUN_DATE, MONTH), "changed")
+    owners = progress.stage(email_owners(t), "owners")
+    distinct = progress.stage(sets.distinct_keys(owners, "email_address"), "distinct")
+    progress.stage(emails.email_candidates(distinct, t.junk), "candidates")
+    progress.close()
+    return t.spark.createDataFrame(list(progress.rows.items()), "stage string, rows long")
 
 
 # ---------------------------------------------------------------- phone dataflows
@@ -937,7 +953,8 @@ REVERSE_ESCALATION = {
     "join flat3 on request_key = concat('PhoneNumber=', standardised_phone_number, '&TestType=FULL&outputFormat=json')",
     *REVERSE_TABLES, "reverse_landed", "owner_landed", "exchange_history", **REVERSE_STEPS, **REVERSE_FLAT, **REVERSE_LANDED, **REVERSE_ESCALATION))
 def _(t):
-    candidates = stage(phones.reverse_escalation_candidates(reverse_staged(t), t.exchange_history, RUN_DATE, DAYS), "reverse_escalation")
+    staged = staged_by_run(t, reverse_staged(t), "reverse_verdicts", "person_phone_key")
+    candidates = stage(phones.reverse_escalation_candidates(staged, t.exchange_history, RUN_DATE, DAYS), "reverse_escalation")
     return written_at(phones.reverse_escalation(candidates, t.owner_landed, run_ts=RUN_TS), phones.DATE)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cleanroll.plans import jobs
 from cleanroll.sinks import ParquetSink
-from cleanroll.sources.tables import ParquetTables
+from cleanroll.sources.tables import CommittedTables
 
 NOW = "2024-01-20 08:00:00"
 DAYS = {n: -15 for n in ("email", "phone", "phone_exchange", "phone_reverse", "phone_owner", "person_detail")}
@@ -90,11 +90,15 @@ def world(spark, tmp_path):
     ).write.parquet(f"{tmp_path}/landed_responses")
 
     class World:
-        def run(self, job, instance="i1", rerun=None):
-            run = jobs.Run(
-                ParquetTables(spark, str(tmp_path), suffix=""), ParquetSink(spark, str(tmp_path), run=rerun), "2024-01-20", DAYS, "me", instance, run_ts=NOW
-            )
-            jobs.run_job(job, run, "e")
+        def run(self, job, instance="i1", rerun=None, of_run=None, **more):
+            source = CommittedTables(spark, str(tmp_path), suffix="")
+            jobs.run_job(job, jobs.Run(
+                source, ParquetSink(spark, str(tmp_path), run=rerun), "2024-01-20", DAYS, "me", instance, "2024-01-01", run_ts=NOW, of_run=of_run, **more
+            ), "e")
+
+        def visible(self, name, *columns):
+            """Rows of committed runs."""
+            return values(CommittedTables(spark, str(tmp_path), suffix="").table(name), *columns)
 
         def append(self, name, **row):
             """A row with these values and NULL elsewhere."""
@@ -112,15 +116,19 @@ def world(spark, tmp_path):
 
 
 def test_email_verification_and_rerun(world):
-    world.run("email_verification")
+    world.run("email_verification", rerun="r1")
     assert world.rows("person_email_verification_staging", "Email", "person_key", "person_email_key") == [("ann@x.co", 1, 1)]
-    assert world.rows("run_funnel") == [("i1", "candidates", 2), ("i1", "owners", 2)]
-    world.run("email_rerun")
+    assert world.visible("run_funnel") == [("i1", "candidates", 2), ("i1", "owners", 2), ("i1", "person_email_verification_staging", 1)]
+    world.run("email_rerun", of_run="r1")
     assert world.rows("person_email_verification_staging_rerun") == [], "the answer that asked for the rerun is not landed again"
     world.answer_again("email", "2024-01-21 00:00:00")
-    world.run("email_rerun")
+    world.run("email_rerun", of_run="another")
+    assert world.rows("person_email_verification_staging_rerun") == [], "staged by a run that is not meant"
+    world.run("email_rerun", of_run="r1")
     assert world.rows("person_email_verification_staging_rerun", "Email", "person_key") == [("ann@x.co", 1)]
-    assert world.rows("run_log", "batch_id", "status", "entity_detail_key") == sorted([(42, "ended", "7"), (42, "started", "7")] * 3)
+    assert world.rows("run_log", "batch_id", "status", "entity_detail_key") == sorted([(42, "ended", "7"), (42, "started", "7")] * 4)
+    with pytest.raises(ValueError, match="name the run"):
+        world.run("email_rerun")
 
 
 def test_phone_hygiene_escalates_its_own_verdicts(world):
@@ -132,9 +140,9 @@ def test_phone_hygiene_escalates_its_own_verdicts(world):
 
 
 def test_reverse_lookup_and_escalation(world):
-    world.run("reverse_lookup")
+    world.run("reverse_lookup", rerun="r1")
     assert world.rows("phone_reverse_staging", "person_phone_key", "NameFull") == [(11, "Ann")]
-    world.run("reverse_escalation")
+    world.run("reverse_escalation", of_run="r1")
     assert world.rows("phone_owner_staging", "phonenumber", "ProviderName", "person_phone_key") == [("2125550100", "Telco", 11)]
 
 
@@ -182,3 +190,53 @@ def test_a_rerun_under_the_same_name_replaces_its_rows_and_keeps_the_log(world):
     assert world.rows("domain", "id") == [("d1",)]
     assert len(world.rows("domain_tags")) == 2
     assert world.rows("run_log", "status") == sorted([("started",), ("ended",)] * 2)
+
+
+def test_a_run_that_fails_between_two_tables_shows_none(world, monkeypatch):
+    append = ParquetSink.append
+
+    def broken(self, df, name):
+        if name == "domain_tags":
+            raise RuntimeError("lost")
+        append(self, df, name)
+
+    monkeypatch.setattr(ParquetSink, "append", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        world.run("domain_enrichment", rerun="d1")
+    assert world.rows("domain", "id") == [("d1",)] and world.visible("domain", "id") == []
+    monkeypatch.undo()
+    world.run("domain_enrichment", rerun="d1")
+    assert world.visible("domain", "id") == [("d1",)] and world.visible("domain_tags") == [("d1", "B2B"), ("d1", "SAAS")]
+    monkeypatch.setattr(ParquetSink, "append", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        world.run("domain_enrichment", rerun="d1")
+    assert world.visible("domain", "id") == [], "a run that started again is not visible until it commits"
+
+
+def test_rows_of_other_runs_are_not_read(spark, tmp_path):
+    for run, n in (("r1", 3), ("r2", 5), ("open", 7)):
+        sink = ParquetSink(spark, str(tmp_path), run=run)
+        sink.begin()
+        sink.append(spark.range(n), "staging")
+        if run != "open":
+            sink.commit()
+    tables = CommittedTables(spark, str(tmp_path), suffix="")
+    assert tables.committed() == ["r1", "r2"]
+    assert tables.table("staging").count() == 8 and tables.table("staging", run="open").count() == 0
+    one = tables.table("staging", run="r2")
+    assert one.count() == 5 and one.columns == ["id"]
+    assert "PartitionFilters: [" in (text := one._jdf.queryExecution().executedPlan().toString()) and "r2" in text.split("PartitionFilters:")[1].split("]")[0]
+
+
+def test_counts_come_from_the_writes(spark):
+    progress = jobs.Progress()
+    staged = progress.stage(spark.range(1000).repartition(7).where("id % 3 = 0"), "thirds")
+    nothing = progress.stage(staged.where("id < 0"), "none")
+    assert progress.rows == {"thirds": 334, "none": 0} and staged.count() == 334 and nothing.count() == 0
+    progress.close()
+
+
+def test_a_job_without_steps_counts_its_tables(world):
+    world.run("domain_enrichment", "domains", rerun="d1")
+    funnel = {stage: n for _, stage, n in world.visible("run_funnel")}
+    assert funnel == {"companies": 3, "domain": 1, "domain_domainAliases": 0, "domain_tags": 2, "domain_sitephoneNumbers": 0, "domain_siteemailAddresses": 0}
