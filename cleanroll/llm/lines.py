@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from cleanroll.session import stage
+from cleanroll.session import Stages, stage
 
 # A unit is a line, or a sentence of it: a passage pasted into a line repeats its sentences, not the line.
 SENTENCE_END = re.compile(r"(?<=[.!?])[ \t]+|\n")
@@ -65,7 +65,7 @@ def line_units(docs: DataFrame) -> DataFrame:
     return keyed.mapInArrow(cut, ddl)
 
 
-def repeated_spans(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
+def repeated_spans(stages: Stages, docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
     """`doc_id, text_hash, removed` of texts that lose something; removed: array of (start, end, words), in order.
 
     A unit stays where its digest has the smallest doc_id, at its first place there. Everywhere else it is a repeat, and
@@ -73,9 +73,9 @@ def repeated_spans(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
     first document found by partial aggregates; only digests found twice come back to the units, through a join
     whose hot digests Spark can split.
     """
-    units = stage(line_units(docs), "units")
+    units = stages.write(line_units(docs), "units")
     found = units.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id")).where("n > 1")
-    twice = stage(found.select("digest", "first_id"), "digests")
+    twice = stages.write(found.select("digest", "first_id"), "digests")
     repeats = units.join(twice, "digest").where((F.col("doc_id") != F.col("first_id")) | F.col("again"))
     repeats = repeats.select(*KEY, "unit", "start", "end", "words").dropDuplicates([*KEY, "unit"])
     run = F.col("unit") - F.row_number().over(Window.partitionBy(*KEY).orderBy("unit"))
@@ -84,6 +84,12 @@ def repeated_spans(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
     return spans
 
 
+def staged_spans(docs: DataFrame, least_run: int) -> DataFrame:
+    """`repeated_spans`, staged; the units they come from are deleted."""
+    with Stages(docs.sparkSession) as stages:
+        return stage(repeated_spans(stages, docs, least_run), "spans")
+
+
 def without(text: str, spans: list[tuple[int, int]]) -> str:
     """`text` without the spans; a line that is left without anything goes with its line end."""
     kept, begin = [], 0
@@ -105,7 +111,7 @@ def removed_spans(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
     texts, which have no units. Rows that repeat both doc_id and text are one text and get the same spans: where they are
     the earliest, all of them stay. Rows that repeat a doc_id with other texts tie in rank and keep their units.
     """
-    spans = repeated_spans(docs, least_run)
+    spans = staged_spans(docs, least_run)
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"))
     empty = F.expr("cast(array() as array<struct<start:int,end:int,words:bigint>>)")
     return keyed.join(spans, KEY, "left").select("doc_id", F.coalesce("removed", empty).alias("removed"))
@@ -113,7 +119,7 @@ def removed_spans(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
     """`docs` with repeats cut from `text` and their places in the old text in `removed`. See `removed_spans`."""
-    spans = stage(repeated_spans(docs, least_run), "spans").withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash", "removed": "_removed"})
+    spans = staged_spans(docs, least_run).withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash", "removed": "_removed"})
     columns = [c for c in docs.columns if c not in ("text", "removed")]
     keyed = docs.select(*[F.col(f"`{c}`") for c in [*columns, "text"]])
     joined = keyed.join(spans, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left").drop("_id", "_hash")

@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, DoubleType, LongType, StructField, StructType
 
-from cleanroll.session import stage
+from cleanroll.session import Stages, stage
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -145,12 +145,12 @@ def profiles(docs: DataFrame) -> DataFrame:
     return docs.select(*[F.col(f"`{f.name}`") for f in fields]).mapInArrow(sign, StructType(fields + own))
 
 
-def band_members(nodes: DataFrame) -> DataFrame:
+def band_members(stages: Stages, nodes: DataFrame) -> DataFrame:
     """`b, band, node, n` for the bands that two nodes or more share, n of them."""
     keys = F.array(*[F.xxhash64(F.lit(b), F.substring("_sig", b * ROWS * 4 + 1, ROWS * 4)) for b in range(BANDS)])
     bands = nodes.select("node", F.posexplode(keys).alias("b", "band"))
     shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return bands.join(stage(shared, "bands"), "band")
+    return bands.join(stages.write(shared, "bands"), "band")
 
 
 @F.pandas_udf(DoubleType())
@@ -172,19 +172,20 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> D
     return both.where(text_similarity("_a", "_b") >= least).select("a", "b")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(stages: Stages, edges: DataFrame) -> DataFrame:
     """`node, label`: the least node of each node's connected component, for nodes with an edge.
 
     A round takes the least label of a node's neighbours and then the label of that label; rounds are written, so a lost
-    executor repeats one at most.
+    executor repeats one at most; the round before goes when the next is there.
     """
-    both = stage(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
-    labels = stage(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "node"), "labels")
+    both = stages.write(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
+    labels = stages.write(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "node"), "labels")
     while True:
         heard = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("heard"))
         nearer = labels.join(heard.withColumnRenamed("a", "node"), "node").select("node", F.col("label").alias("was"), F.least("label", "heard").alias("label"))
         jumped = nearer.join(labels.select(F.col("node").alias("label"), F.col("label").alias("next")), "label")
-        labels = stage(jumped.select("node", F.least("label", "next").alias("label"), "was"), "labels")
+        before, labels = labels, stages.write(jumped.select("node", F.least("label", "next").alias("label"), "was"), "labels")
+        stages.drop(before)
         if labels.where("label <> was").isEmpty():
             return labels.select("node", "label")
 
@@ -234,7 +235,7 @@ def close_pairs(split: DataFrame) -> DataFrame:
     return cells.groupBy("band", "i", "j").applyInPandas(meet, "a long, b long")
 
 
-def links(nodes: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
+def links(stages: Stages, nodes: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """`node, label` of all nodes that are similar to another one, directly or through others.
 
     Members of a band are first held against one of them, the one with the most company over all its bands: copies of one
@@ -243,22 +244,42 @@ def links(nodes: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> Data
     already or their signatures are far apart (at similarity 0.8 below 1e-7), and copies in one component never meet each other.
     Texts and signatures of nodes that share no band are left behind at once: later joins move the others only.
     """
-    members = stage(band_members(nodes), "members")
-    company = stage(members.groupBy("node").agg(F.sum("n").alias("company")), "company")
+    members = stages.write(band_members(stages, nodes), "members")
+    company = stages.write(members.groupBy("node").agg(F.sum("n").alias("company")), "company")
     met = company.select("node")
-    held = stage(nodes.join(met, "node", "left_semi").join(texts.join(met, "node", "left_semi"), "node").select("node", "_sig", "text"), "held")
+    held = stages.write(nodes.join(met, "node", "left_semi").join(texts.join(met, "node", "left_semi"), "node").select("node", "_sig", "text"), "held")
     texts = held.select("node", "text")
     known = members.join(company, "node")
-    centres = known.groupBy("band").agg(F.max(F.struct("company", "node")).alias("c")).select("band", F.col("c.node").alias("centre"))
-    star = members.join(stage(centres, "centres"), "band").where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
-    edges = stage(verified(stage(star, "pairs"), texts, least), "linked")
-    of_node = members.join(components(edges), "node", "left").select("b", "band", "n", "node", F.coalesce("label", "node").alias("label"))
-    labelled = stage(of_node, "labelled")
-    uneven = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band")
-    split = stage(labelled.join(stage(uneven, "uneven"), "band"), "split")
-    long = stage(long_signatures(texts.join(split.select("node").distinct(), "node")), "long")
-    fresh = stage(close_pairs(split.join(held.select("node", "_sig").join(long, "node"), "node")), "pairs")
-    return components(edges.union(stage(verified(fresh, texts, least), "linked")))
+    chosen = known.groupBy("band").agg(F.max(F.struct("company", "node")).alias("c")).select("band", F.col("c.node").alias("centre"))
+    centres = stages.write(chosen, "centres")
+    star = members.join(centres, "band").where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+    pairs = stages.write(star, "pairs")
+    edges = stages.write(verified(pairs, texts, least), "linked")
+    of_node = members.join(components(stages, edges), "node", "left").select("b", "band", "n", "node", F.coalesce("label", "node").alias("label"))
+    labelled = stages.write(of_node, "labelled")
+    stages.drop(members, company, centres, pairs)
+    bands = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band")
+    uneven = stages.write(bands, "uneven")
+    split = stages.write(labelled.join(uneven, "band"), "split")
+    stages.drop(labelled, uneven)
+    long = stages.write(long_signatures(texts.join(split.select("node").distinct(), "node")), "long")
+    fresh = stages.write(close_pairs(split.join(held.select("node", "_sig").join(long, "node"), "node")), "pairs")
+    stages.drop(split, long)
+    return components(stages, edges.union(stages.write(verified(fresh, texts, least), "linked")))
+
+
+def decisions(stages: Stages, staged: DataFrame, least: float) -> DataFrame:
+    """`_row, class_id, keeper` of the rows of `staged` that have words. What it stages goes with `stages`."""
+    with_words = staged.where(F.col("_content").isNotNull())
+    nodes = stages.write(with_words.groupBy("_content").agg(F.min("_row").alias("node"), F.max("_sig").alias("_sig")), "nodes")
+    texts = staged.select(F.col("_row").alias("node"), "text")
+    labels = links(stages, nodes.select("node", "_sig"), texts, least)
+    home = stages.write(nodes.select("_content", "node").join(labels, "node", "left").select("_content", F.coalesce("label", "node").alias("label")), "home")
+    rows = stages.write(with_words.select("_row", "doc_id", "_content").join(home, "_content").select("_row", "doc_id", "label"), "rows")
+    ids = rows.groupBy("label").agg(F.min("doc_id").alias("class_id"))
+    firsts = rows.join(stages.write(ids, "ids"), "label")
+    kept = firsts.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("label").agg(F.min("_row").alias("_row"))
+    return firsts.join(kept.select("_row", F.lit(True).alias("keeper")), "_row", "left").select("_row", "class_id", F.coalesce("keeper", F.lit(False)).alias("keeper"))
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -270,17 +291,9 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """
     docs = docs.drop(*({"class_id", "keeper"} & set(docs.columns)))
     staged = stage(profiles(docs), "profiles")
-    with_words = staged.where(F.col("_content").isNotNull())
-    nodes = stage(with_words.groupBy("_content").agg(F.min("_row").alias("node"), F.max("_sig").alias("_sig")), "nodes")
-    texts = staged.select(F.col("_row").alias("node"), "text")
-    labels = links(nodes.select("node", "_sig"), texts, least)
-    home = stage(nodes.select("_content", "node").join(labels, "node", "left").select("_content", F.coalesce("label", "node").alias("label")), "home")
-    rows = stage(with_words.select("_row", "doc_id", "_content").join(home, "_content").select("_row", "doc_id", "label"), "rows")
-    ids = rows.groupBy("label").agg(F.min("doc_id").alias("class_id"))
-    firsts = rows.join(stage(ids, "ids"), "label")
-    kept = firsts.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("label").agg(F.min("_row").alias("_row"))
-    decided = firsts.join(kept.select("_row", F.lit(True).alias("keeper")), "_row", "left").select("_row", "class_id", F.coalesce("keeper", F.lit(False)).alias("keeper"))
-    joined = staged.drop("_sig").join(stage(decided, "decided"), "_row", "left")
+    with Stages(docs.sparkSession) as stages:
+        decided = stage(decisions(stages, staged, least), "decided")
+    joined = staged.drop("_sig").join(decided, "_row", "left")
     alone = F.col("_content").isNull()
     return joined.withColumn("class_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id"))).withColumn(
         "keeper", alone | F.coalesce("keeper", F.lit(False))
