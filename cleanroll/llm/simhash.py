@@ -131,13 +131,16 @@ def chunk_order(chunks: DataFrame) -> DataFrame:
 def followed(rows: DataFrame, order: list, nexts: DataFrame, value: Column) -> DataFrame:
     """`rows` plus `place` in their chunk and `following`, the value of the row after them; the first row follows the last.
 
-    The rows pass the shuffle by chunk once: the filter, which the joins below would add to some of its readers, makes it
-    the same for all three.
+    The rows pass the shuffle by chunk once for all three readers below. To that end the filter, which the joins would add
+    to some of them, stands before it, and the head of a chunk is the row with none before it: a limit by `place` would be
+    moved below the shuffle and make it another one.
     """
     rows = rows.where(F.col("chunk").isNotNull())
     within = Window.partitionBy("chunk").orderBy(*order)
     lined = rows.withColumn("place", F.row_number().over(within)).withColumn("following", F.lead(F.struct(value.alias("v"))).over(within))
-    heads = lined.where("place = 1").select(F.col("chunk").alias("next_chunk"), F.struct(value.alias("v")).alias("following"))
+    lined = lined.withColumn("_before", F.lag(F.struct(F.lit(1))).over(within))
+    heads = lined.where("_before is null").select(F.col("chunk").alias("next_chunk"), F.struct(value.alias("v")).alias("following"))
+    lined = lined.drop("_before")
     last = lined.where("following is null").drop("following").join(nexts, "chunk").join(heads, "next_chunk").drop("next_chunk")
     return lined.where("following is not null").unionByName(last).withColumn("following", F.col("following.v"))
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cleanroll.llm import simhash
+from cleanroll.session import stage
 
 
 def print_of(text):
@@ -56,15 +57,14 @@ def test_scan_by_brute_force(spark, texts, documents, monkeypatch):
     assert scanned(simhash.scan(documents(texts).repartition(3))) == expected(texts)
 
 
-def test_one_shuffle_of_the_texts(spark, texts, documents):
-    docs = documents(texts).select("doc_id", "text")
+def test_one_shuffle_of_the_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     dealt = simhash.chunked(docs)
-    lined = simhash.followed(dealt, [F.col("doc_id").asc_nulls_last()], simhash.chunk_order(dealt).persist(), F.col("text"))
-    assert lined.count() == len(texts)
-    plan = lined.select("doc_id", "text", "following")
-    plan.collect()
-    final = plan._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert final.count("ReusedExchange") >= 1
+    by_id = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), F.length("text")]
+    lined = simhash.followed(dealt, by_id, stage(simhash.chunk_order(dealt), "chunks"), F.col("text"))
+    lined.collect()
+    final = lined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("ReusedExchange") == 2 and final.count(" Exchange hashpartitioning(chunk") == 3  # two of them name what they reuse
 
 
 def test_repeated_ids_and_small_tables(spark, documents):
