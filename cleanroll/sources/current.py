@@ -32,8 +32,7 @@ class CurrentAnswers:
     def _generations(self, provider: str) -> list[tuple[int, str]]:
         """(number, table) of the provider's generations, oldest first."""
         prefix = f"{self.name}_{provider}_g"
-        rows = self.spark.sql(f"SHOW TABLES LIKE '{prefix}*'").collect()
-        names = [r.tableName for r in rows if r.tableName.startswith(prefix)]
+        names = [t.name for t in self.spark.catalog.listTables(pattern=f"{prefix}*") if t.name.startswith(prefix)]
         return sorted((int(n[len(prefix) :].split("_")[0]), n) for n in names)
 
     def table(self, provider: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Protocol
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -55,12 +56,10 @@ class CommittedTables(ParquetTables):
     """
 
     def committed(self) -> list[str]:
-        """The committed runs, one name a run."""
-        markers = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(MANIFEST)}/*")
-        if not markers.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(markers):
-            return []
-        rows = self.spark.read.schema("run string").parquet(markers.toString()).distinct().collect()
-        return sorted(r.run for r in rows)
+        """The committed runs: the names of the manifest's finished folders, one a run."""
+        done = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(MANIFEST)}/{RUN}=*/_SUCCESS")
+        found = done.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(done) or []
+        return sorted(unquote(f.getPath().getParent().getName()[len(RUN) + 1 :]) for f in found)
 
     def table(self, name, columns=None, where=None, run=None):
         df = self.spark.read.parquet(self.path(name))
