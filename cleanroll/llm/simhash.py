@@ -128,21 +128,22 @@ def chunk_order(chunks: DataFrame) -> DataFrame:
     return some.withColumn("_next", inner).join(supers, "super").select("chunk", F.coalesce("_next", "after").alias("next_chunk"))
 
 
-def followed(rows: DataFrame, order: list, nexts: DataFrame, value: Column) -> DataFrame:
+def followed(rows: DataFrame, order: list, nexts: DataFrame, value: str) -> DataFrame:
     """`rows` plus `place` in their chunk and `following`, the value of the row after them; the first row follows the last.
 
-    The rows pass the shuffle by chunk once for all three readers below. To that end the filter, which the joins would add
-    to some of them, stands before it, and the head of a chunk is the row with none before it: a limit by `place` would be
-    moved below the shuffle and make it another one.
+    `value` names a column without nulls. The rows pass the shuffle by chunk once for all three readers below. To that end
+    each reader needs the same columns below the shuffle: the filter, which the joins would add to some of them, stands
+    before it, `value` is a column and no expression, and the head of a chunk is the row with none before it, as a limit by
+    `place` would be moved below the shuffle.
     """
     rows = rows.where(F.col("chunk").isNotNull())
     within = Window.partitionBy("chunk").orderBy(*order)
-    lined = rows.withColumn("place", F.row_number().over(within)).withColumn("following", F.lead(F.struct(value.alias("v"))).over(within))
-    lined = lined.withColumn("_before", F.lag(F.struct(F.lit(1))).over(within))
-    heads = lined.where("_before is null").select(F.col("chunk").alias("next_chunk"), F.struct(value.alias("v")).alias("following"))
+    lined = rows.withColumn("place", F.row_number().over(within)).withColumn("following", F.lead(value).over(within))
+    lined = lined.withColumn("_before", F.lag(F.lit(1)).over(within))
+    heads = lined.where("_before is null").select(F.col("chunk").alias("next_chunk"), F.col(value).alias("following"))
     lined = lined.drop("_before")
     last = lined.where("following is null").drop("following").join(nexts, "chunk").join(heads, "next_chunk").drop("next_chunk")
-    return lined.where("following is not null").unionByName(last).withColumn("following", F.col("following.v"))
+    return lined.where("following is not null").unionByName(last)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -154,14 +155,15 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         dealt = chunked(whole)
         nexts = stages.write(chunk_order(dealt), "chunks")
         by_id = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), F.length("text")]
-        lined = followed(dealt, by_id, nexts, F.col("text"))
+        lined = followed(dealt, by_id, nexts, "text")
         n = F.length("text")
         cut = F.floor(n / 4).cast("int")
         edited = F.concat(F.substr("text", F.lit(1), n - cut), F.substr("following", F.lit(1), cut))
         pairs = lined.withColumn("edited", F.when(cut > 0, edited).otherwise(F.col("text")))
         pairs = pairs.withColumn("n_chars", n.cast("long")).withColumn("edited_sha256", F.sha2("edited", 256))
         prints = stages.write(tallied(pairs, ["chunk", "place", "doc_id", "n_chars", "edited_sha256"]), "prints")
-        own = followed(prints.withColumnRenamed("place", "_place"), ["_place"], nexts, F.struct("f0", "f1"))
+        own = prints.withColumnRenamed("place", "_place").withColumn("_print", F.struct("f0", "f1"))
+        own = followed(own, ["_place"], nexts, "_print")
         return stage(
             own.select("doc_id", "n_chars", "edited_sha256", "f0", "f1", "e0", "e1", F.col("following.f0").alias("n0"), F.col("following.f1").alias("n1")),
             "fingerprints",
