@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
+import io
 import uuid
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -16,7 +19,8 @@ from cleanroll.session import scratch_root, stage
 
 SEGMENT = 16 * 1024  # most bytes of a record's block; longer ones continue in further records
 CHUNK = 4096
-RECORDS_A_FILE = 1024  # so a file has 17 MB at most, and is read whole
+RECORDS_A_FILE = 1024  # so a file has 17 MB at most
+BATCH = 16 << 20  # bytes of blocks that a reading task hands on at once
 DATE = "2024-01-01T00:00:00Z"
 END = b"\r\n\r\n"
 LEAST_EQUAL = 0
@@ -120,49 +124,57 @@ def write_archive(pages: DataFrame, path: str, least: int = LEAST_EQUAL) -> None
     lines.write.option("lineSep", END.decode()).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_A_FILE).text(path)
 
 
-def parsed(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(fields, block) of each record of an archive file; blocks are taken by their length."""
-    at = 0
-    while at < len(raw):
-        end = raw.index(END, at)
-        version, *lines = raw[at:end].decode("utf-8").split("\r\n")
-        if not version.startswith("WARC/1."):
-            raise ValueError(f"no record starts at byte {at}")
-        fields = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in lines)
-        begin = end + len(END)
+def parsed(archive: bytes | BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(fields, block) of each record of an archive, read one at a time; blocks are taken by their length."""
+    file = io.BytesIO(archive) if isinstance(archive, bytes) else archive
+    while line := file.readline():
+        if not line.startswith(b"WARC/1."):
+            raise ValueError(f"no record starts with {line[:40]!r}")
+        fields = {}
+        while (line := file.readline()) != b"\r\n":
+            if not line.endswith(b"\r\n"):
+                raise ValueError("a record is cut short")
+            name, _, value = line.decode("utf-8")[:-2].partition(":")
+            fields[name] = value.strip(" ")
         size = int(fields["Content-Length"])
-        if raw[begin + size : begin + size + 4] != END:
+        block = file.read(size)
+        if len(block) < size or file.read(len(END)) != END:
             raise ValueError("a record is cut short")
-        yield fields, raw[begin : begin + size]
-        at = begin + size + 4
+        yield fields, block
 
 
 RECORD = "origin string, segment int, total long, type string, page_id long, refers_to long, digest string, uri string, block binary"
 
 
 def read_records(spark, path: str) -> DataFrame:
-    """One row per record of the archive. A file is read whole; `RECORDS_A_FILE` and `SEGMENT` bound it."""
-    import zlib
+    """One row per record of the archive, whether a file is one gzip member or has one for each record.
 
+    A file is held compressed and read record by record, in batches of `BATCH` bytes. A damaged record, or a file that
+    is cut short, is an error in the task.
+    """
     number = lambda fields, name: int(fields[name]) if name in fields else None
+    schema = pa.schema([
+        ("origin", pa.string()), ("segment", pa.int32()), ("total", pa.int64()), ("type", pa.string()), ("page_id", pa.int64()),
+        ("refers_to", pa.int64()), ("digest", pa.string()), ("uri", pa.string()), ("block", pa.binary()),
+    ])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([
-            ("origin", pa.string()), ("segment", pa.int32()), ("total", pa.int64()), ("type", pa.string()), ("page_id", pa.int64()),
-            ("refers_to", pa.int64()), ("digest", pa.string()), ("uri", pa.string()), ("block", pa.binary()),
-        ])
+        rows, held = [], 0
         for batch in batches:
             for content in batch.column("content"):
-                rows = [
-                    {
-                        "origin": f.get("WARC-Segment-Origin-ID", f["WARC-Record-ID"]), "segment": number(f, "WARC-Segment-Number"),
-                        "total": number(f, "WARC-Segment-Total-Length"), "type": f["WARC-Type"], "page_id": number(f, "X-Page-ID"),
-                        "refers_to": number(f, "X-Refers-To-Page-ID"), "digest": f.get("WARC-Payload-Digest", "").removeprefix("sha1:"),
-                        "uri": f.get("WARC-Target-URI"), "block": block,
-                    }
-                    for f, block in parsed(zlib.decompress(content.as_py(), 47))
-                ]
-                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                with gzip.GzipFile(fileobj=io.BytesIO(content.as_py())) as file:
+                    for f, block in parsed(file):
+                        rows.append({
+                            "origin": f.get("WARC-Segment-Origin-ID", f["WARC-Record-ID"]), "segment": number(f, "WARC-Segment-Number"),
+                            "total": number(f, "WARC-Segment-Total-Length"), "type": f["WARC-Type"], "page_id": number(f, "X-Page-ID"),
+                            "refers_to": number(f, "X-Refers-To-Page-ID"), "digest": f.get("WARC-Payload-Digest", "").removeprefix("sha1:"),
+                            "uri": f.get("WARC-Target-URI"), "block": block,
+                        })
+                        held += len(block)
+                        if held >= BATCH:
+                            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                            rows, held = [], 0
+        yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
     return files.mapInArrow(split, RECORD)

@@ -1,5 +1,7 @@
 """Archives, pages, token files and vectors: exact round trips and brute force."""
 
+import gzip
+import io
 import math
 import re
 import zlib
@@ -51,6 +53,23 @@ def test_framing():
     assert int(parsed[-1][0]["WARC-Segment-Total-Length"]) == sum(len(b) for _, b in parsed)
 
 
+def test_archives_of_several_members(spark, tmp_path, monkeypatch):
+    """Files with a gzip member for each record, as crawlers write them, lose no record; cut ones are an error."""
+    pages = [(n, b"page %d " % n * (n * 700)) for n in range(1, 12)]
+    records = [[r + warc.END for r in warc.records_of(n, f"http://x/{n}", p, warc.digest_of(p), None, str(n))] for n, p in pages]
+    for name, some in (("a", records[:6]), ("b", records[6:])):
+        (tmp_path / f"{name}.warc.gz").write_bytes(b"".join(gzip.compress(r) for page in some for r in page))
+    monkeypatch.setattr(warc, "BATCH", 20_000)
+    got = warc.read_archive(spark, str(tmp_path)).collect()
+    assert sorted((r.page_id, bytes(r.payload)) for r in got) == pages
+    assert warc.read_records(spark, str(tmp_path)).count() == sum(map(len, records)) > len(pages)
+    many = b"".join(gzip.compress(records[0][0]) for _ in range(20_000))  # work in proportion to the file
+    assert sum(1 for _ in warc.parsed(gzip.GzipFile(fileobj=io.BytesIO(many)))) == 20_000
+    for cut in (many[:-3], many[: len(many) // 2 + 5]):
+        with pytest.raises((EOFError, ValueError)):
+            list(warc.parsed(gzip.GzipFile(fileobj=io.BytesIO(cut))))
+
+
 def test_missing_segment_is_found(spark):
     rows = [("o", 1, None, "response", 1, None, "d", "u", bytearray(b"ab")), ("o", 3, 6, "continuation", None, None, "", "u", bytearray(b"ef"))]
     with pytest.raises(Exception, match="segments are missing"):
