@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from typing import Protocol
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from cleanroll.sinks import MANIFEST, RUN
 
@@ -79,9 +79,83 @@ class Split:
     partitions: int
 
 
+@dataclass(frozen=True)
+class EvenSplit:
+    """A JDBC scan cut into parallel reads by predicates, each row in one of them; see `even_split`."""
+
+    predicates: tuple[str, ...]
+
+
+QUANTILE_ACCURACY = 100  # ranks are off by at most a hundredth of a read
+
+
+def _sql_literal(value, kind: T.DataType) -> str:
+    if isinstance(kind, T.DateType):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    return str(value) if isinstance(kind, T.IntegralType) else f"{value:f}"
+
+
+def _check_splittable(keys: DataFrame, *columns: str) -> None:
+    for column in columns:
+        if not isinstance(keys.schema[column].dataType, (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+            raise ValueError(f"{column}: a split needs whole or decimal numbers, dates or times")
+
+
+def _quantiles(column: str, reads: int) -> Column:
+    return F.percentile_approx(column, [i / reads for i in range(reads + 1)], reads * QUANTILE_ACCURACY)
+
+
+def _cuts(quantiles: Sequence | None, parts: int) -> list:
+    """The inner bounds of `parts` even ranges, by the nearest quantiles; a value that fills several ranges is there as often."""
+    last = len(quantiles or ()) - 1
+    return [quantiles[min(last, round(i * last / parts))] for i in range(1, parts)] if last > 0 else []
+
+
+def even_split(keys: DataFrame, column: str, partitions: int, within: str | None = None) -> EvenSplit:
+    """About `partitions` reads of even size, though the values of `column` lie unevenly.
+
+    `keys` holds `column` as the table has it: all of it, a sample, or that of the last load. Ranges between its quantiles
+    are read each by a task. A value that fills several of them, or NULL, is a read of its own, and is cut further at the
+    quantiles of a second column, `within`, among its rows; without that it stays one read. The predicates are plain SQL:
+    every row meets one of them, also rows that came after `keys`. Without known values the whole table is one read.
+    """
+    if partitions < 1:
+        raise ValueError("a split has one read at least")
+    _check_splittable(keys, column, *([within] if within else []))
+    literal = lambda value: _sql_literal(value, keys.schema[column].dataType)
+    known = keys.agg(_quantiles(column, partitions).alias("at"), F.count(F.lit(1)).alias("rows"), F.count(column).alias("present")).first()
+    absent = -(-partitions * (known.rows - known.present) // max(1, known.rows))
+    cuts = _cuts(known.at, max(1, round(partitions * known.present / max(1, known.rows))))
+    hot = sorted({v for v in cuts if cuts.count(v) > 1})
+    inner = {}
+    if within and (hot or absent > 1):  # one row a hot value, and there are fewer of them than reads
+        heavy = keys.where(F.col(column).isNull() | F.col(column).isin(hot))
+        inner = {r[column]: r["at"] for r in heavy.groupBy(column).agg(_quantiles(within, partitions).alias("at")).collect()}
+
+    def shares(where: str, value, parts: int) -> list[str]:
+        bounds = [_sql_literal(b, keys.schema[within].dataType) for b in sorted(set(_cuts(inner.get(value), parts)))] if within else []
+        if not bounds:
+            return [where]
+        middle = [f"{within} >= {low} AND {within} < {high}" for low, high in zip(bounds, bounds[1:])]
+        ranges = [f"({within} < {bounds[0]} OR {within} IS NULL)", *middle, f"{within} >= {bounds[-1]}"]
+        return [f"{where} AND {r}" for r in ranges]
+
+    out = shares(f"{column} IS NULL", None, absent)
+    least = ""  # what the values from here on meet
+    for value in sorted(set(cuts)):
+        out.append(" AND ".join(filter(None, (least, f"{column} < {literal(value)}"))))
+        if value in hot:
+            out += shares(f"{column} = {literal(value)}", value, cuts.count(value))
+        least = f"{column} {'>' if value in hot else '>='} {literal(value)}"
+    return EvenSplit((*out, least or f"{column} IS NOT NULL"))
+
+
 @dataclass(frozen=True)
 class JdbcTables:
-    """Tables of one database schema. `splits` gives the parallel read of each large table.
+    """Tables of one database schema. `splits` gives the parallel read of each large table, by equal ranges (`Split`) or,
+    where keys are skewed, by `even_split`.
 
     A table without a split is read by one task, so it has to be named in `small`.
 
@@ -92,7 +166,7 @@ class JdbcTables:
     url: str
     schema: str
     properties: Mapping[str, str] = field(default_factory=dict)
-    splits: Mapping[str, Split] = field(default_factory=dict)
+    splits: Mapping[str, Split | EvenSplit] = field(default_factory=dict)
     small: frozenset[str] = frozenset()
     names: Mapping[str, str] = field(default_factory=dict)
     fetch_size: int = 10_000
@@ -107,7 +181,7 @@ class JdbcTables:
         split = self.splits.get(name)
         if split is None and name not in self.small:
             raise ValueError(f"{name}: give a split, or name it in `small` to read it in one task")
-        if split:
+        if isinstance(split, Split):
             out |= {
                 "partitionColumn": split.column,
                 "lowerBound": split.lower,
@@ -117,5 +191,9 @@ class JdbcTables:
         return out
 
     def table(self, name, columns=None, where=None, run=None):
-        df = self.spark.read.format("jdbc").options(**self.options(name)).load()
+        options, split = self.options(name), self.splits.get(name)
+        if isinstance(split, EvenSplit):
+            df = self.spark.read.jdbc(options.pop("url"), options.pop("dbtable"), predicates=list(split.predicates), properties=options)
+        else:
+            df = self.spark.read.format("jdbc").options(**options).load()
         return _narrow(df, columns, where, run)

@@ -8,7 +8,7 @@ from cleanroll.plans import audit
 from cleanroll.sinks import JdbcSink, ParquetSink, by_name
 from cleanroll.sources.answers import answers
 from cleanroll.sources.settings import read_settings
-from cleanroll.sources.tables import JdbcTables, Split
+from cleanroll.sources.tables import EvenSplit, JdbcTables, Split, even_split
 
 HISTORY = "k int, updated_date timestamp_ntz"
 
@@ -174,3 +174,44 @@ def test_the_last_setting_wins_by_path_not_by_size(spark, tmp_path):
     assert read_settings(spark, str(tmp_path))["k"] == "last"
     (tmp_path / "a.csv").write_text("key,value\n" + "other,x\n" * 500 + "k,first\n" + "other,x\n" * 5000)
     assert read_settings(spark, str(tmp_path))["k"] == "last"
+
+
+def read_sizes(df, split):
+    """Rows of each read; every row must be in exactly one."""
+    sizes = [df.where(p).count() for p in split.predicates]
+    once = sum((F.when(F.expr(p), 1).otherwise(0) for p in split.predicates), F.lit(0))
+    assert df.where(once != 1).isEmpty()
+    return sizes
+
+
+def test_even_split_of_skewed_keys(spark):
+    """A third of the rows have one key, a fifth have none, and the rest lie unevenly."""
+    n = F.col("id")
+    key = F.when(n % 3 == 0, F.lit(-7)).when(n % 5 == 1, F.lit(None)).otherwise(F.pow(n / 100, F.lit(3)).cast("int")).cast("bigint")
+    df = spark.range(30_000).select(key.alias("k"), F.when(n % 1000 != 0, n - 15_000).alias("row_no")).cache()
+    sizes = read_sizes(df, even_split(df, "k", 30, within="row_no"))
+    assert sum(sizes) == 30_000 and max(sizes) <= 2 * 1000 and len(sizes) <= 35
+    whole = read_sizes(df, even_split(df, "k", 30))  # the hot key and the rows without one stay one read each
+    assert sorted(whole)[-2:] == [df.where("k is null").count(), 10_000] and sorted(whole)[-3] <= 2 * 1000
+    later = spark.createDataFrame([(-(10**12), 1), (10**12, -1), (None, None), (-7, None), (-7, -3)], "k bigint, row_no bigint")
+    assert sum(read_sizes(later, even_split(df, "k", 30, within="row_no"))) == 5  # rows that came later are read too
+
+
+def test_even_split_of_times_and_small_tables(spark, table):
+    days = spark.range(1000).select(F.expr("date_add(date'2024-01-01', cast(sqrt(id) as int))").alias("d"))
+    for kind in ("date", "timestamp", "timestamp_ntz"):
+        sizes = read_sizes(days.select(F.col("d").cast(kind)), even_split(days.select(F.col("d").cast(kind)), "d", 8))
+        assert sum(sizes) == 1000 and len(sizes) >= 8
+    prices = table([(i,) for i in range(40)], "i int").select((F.col("i") / 7).cast("decimal(20,6)").alias("p"))
+    assert sum(read_sizes(prices, even_split(prices, "p", 4))) == 40
+    none = table([], "k int")
+    assert even_split(none, "k", 8).predicates == ("k IS NULL", "k IS NOT NULL")
+    assert sum(read_sizes(table([(None,), (None,)], "k int"), even_split(table([(None,)], "k int"), "k", 8))) == 2
+    assert sum(read_sizes(table([(1,), (1,), (2,)], "k int"), even_split(table([(1,)], "k int"), "k", 8))) == 3
+    with pytest.raises(ValueError, match="whole or decimal"):
+        even_split(table([("a",)], "k string"), "k", 8)
+
+
+def test_even_split_takes_the_place_of_ranges():
+    source = JdbcTables(None, "jdbc:x", "mdm", splits={"person": EvenSplit(("person_key < 5", "person_key >= 5"))})
+    assert "partitionColumn" not in source.options("person")
