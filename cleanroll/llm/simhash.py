@@ -5,6 +5,7 @@ from __future__ import annotations
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import LongType
 
 from cleanroll.session import Stages, stage
 
@@ -146,11 +147,18 @@ def followed(rows: DataFrame, order: list, nexts: DataFrame, value: str) -> Data
     return lined.where("following is not null").unionByName(last)
 
 
+def whole_texts(docs: DataFrame) -> DataFrame:
+    """`doc_id` as a long and `text` without nulls. A long id is not cast: the alias of a cast that does nothing goes in some
+    readers of `followed` only, and then they would not share their shuffle."""
+    is_long = isinstance(docs.schema["doc_id"].dataType, LongType)
+    return docs.select("doc_id" if is_long else F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """One row a document: `doc_id, n_chars, edited_sha256`, the fingerprints `f0, f1` and `e0, e1` of its text and its
     edited text, `n0, n1` of the next document's text, staged."""
     spark = docs.sparkSession
-    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    whole = whole_texts(docs)
     with Stages(spark) as stages:
         dealt = chunked(whole)
         nexts = stages.write(chunk_order(dealt), "chunks")

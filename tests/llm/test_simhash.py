@@ -58,8 +58,8 @@ def test_scan_by_brute_force(spark, texts, documents, monkeypatch):
 
 
 def test_one_shuffle_of_the_texts(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    dealt = simhash.chunked(docs)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    dealt = simhash.chunked(simhash.whole_texts(docs))
     by_id = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), F.length("text")]
     lined = simhash.followed(dealt, by_id, stage(simhash.chunk_order(dealt), "chunks"), "text")
     pairs = lined.select("chunk", "place", F.concat("text", "following").alias("edited"))  # without doc_id, as the terms read it
