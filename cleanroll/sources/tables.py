@@ -103,7 +103,7 @@ def _check_splittable(keys: DataFrame, *columns: str) -> None:
             raise ValueError(f"{column}: a split needs whole or decimal numbers, dates or times")
 
 
-def _quantiles(column: str, reads: int) -> Column:
+def _quantiles(column: Column | str, reads: int) -> Column:
     return F.percentile_approx(column, [i / reads for i in range(reads + 1)], reads * QUANTILE_ACCURACY)
 
 
@@ -130,9 +130,11 @@ def even_split(keys: DataFrame, column: str, partitions: int, within: str | None
     cuts = _cuts(known.at, max(1, round(partitions * known.present / max(1, known.rows))))
     hot = sorted({v for v in cuts if cuts.count(v) > 1})
     inner = {}
-    if within and (hot or absent > 1):  # one row a hot value, and there are fewer of them than reads
-        heavy = keys.where(F.col(column).isNull() | F.col(column).isin(hot))
-        inner = {r[column]: r["at"] for r in heavy.groupBy(column).agg(_quantiles(within, partitions).alias("at")).collect()}
+    heavy = [*hot, *([None] if absent > 1 else [])]
+    if within and heavy:  # one aggregate a heavy value, and there are fewer of them than reads
+        is_value = lambda v: F.col(column).isNull() if v is None else F.col(column) == F.lit(v)
+        at = [_quantiles(F.when(is_value(v), F.col(within)), partitions).alias(f"at{i}") for i, v in enumerate(heavy)]
+        inner = dict(zip(heavy, keys.where(F.col(column).isNull() | F.col(column).isin(hot)).agg(*at).first(), strict=True))
 
     def shares(where: str, value, parts: int) -> list[str]:
         bounds = [_sql_literal(b, keys.schema[within].dataType) for b in sorted(set(_cuts(inner.get(value), parts)))] if within else []
