@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from cleanroll.functions.periods import since
+from cleanroll.functions.periods import since, with_time
 
 # More partitions than any shuffle has, so `coalesce` keeps all of them.
 ALL_PARTITIONS = 1 << 30
@@ -55,9 +55,9 @@ def recent_keys(
     """The keys of all histories since `run_date + days`, with repeats.
 
     Each history has `key` and `ts_col`. The date filter runs on each history before
-    the union, so it reaches every scan.
+    the union, so it reaches every scan, and the partitions of a history that has them.
     """
-    return union_histories(*[since(h.select(key, ts_col), ts_col, run_date, days).select(key) for h in histories])
+    return union_histories(*[since(with_time(h, ts_col, key), ts_col, run_date, days).select(key) for h in histories])
 
 
 def not_recent(

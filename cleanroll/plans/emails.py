@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from cleanroll.functions.emails import valid_email
-from cleanroll.functions.periods import DAY, changed_in
+from cleanroll.functions.periods import DAY, changed_in, with_time
 from cleanroll.functions.text import email_request
 from cleanroll.operators.landing import land
 from cleanroll.operators.providers import flatten_email_verdict
@@ -25,7 +25,7 @@ def email_owners(batch: DataFrame, emails: DataFrame, history: DataFrame, run_da
     These rows own the verdicts on landing. The validity test needs only the email
     itself, so it runs before the joins; the batch carries no columns, so it only filters.
     """
-    master = emails.select("person_key", "email_address", "person_email_key", "updated_date")
+    master = with_time(emails, "updated_date", "person_key", "email_address", "person_email_key")
     changed = changed_in(master, "updated_date", run_date, grain).where(valid_email(F.col("email_address")))
     due = due_keys(batch, "person_email_key", history, run_date=run_date, days=days)
     return only_in(changed, "person_email_key", due)
@@ -38,11 +38,12 @@ def email_candidates(owners: DataFrame, junk: DataFrame) -> DataFrame:
 
 def enrichment_as_master(emails: DataFrame) -> DataFrame:
     """The enrichment email table under the master's column names, without NULL emails."""
-    return emails.where(F.col("email").isNotNull()).select(
+    return with_time(
+        emails.where(F.col("email").isNotNull()),
+        "updated_date",
         F.col("enrichment_api_person_key").alias("person_key"),
         F.col("email").alias("email_address"),
         F.col("enrichment_api_person_email_key").alias("person_email_key"),
-        "updated_date",
     )
 
 
@@ -56,7 +57,7 @@ def enriched_email_owners(
     key = F.col("enrichment_api_person_email_key").alias("person_email_key")
     changed = changed_in(enrichment_as_master(emails), "updated_date", run_date, grain)
     due = due_keys(
-        batch.select(key), "person_email_key", history, enriched_history.select(key, "updated_date"), run_date=run_date, days=days
+        batch.select(key), "person_email_key", history, with_time(enriched_history, "updated_date", key), run_date=run_date, days=days
     )
     return only_in(changed.where(valid_email(F.col("email_address"))), "person_email_key", due)
 

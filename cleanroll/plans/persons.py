@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from cleanroll.functions.periods import DAY, changed_in
+from cleanroll.functions.periods import DAY, changed_in, with_time
 from cleanroll.functions.text import detail_request, match_request
 from cleanroll.operators.fanout import staged_fan_out, tables_of
 from cleanroll.operators.landing import land
@@ -19,7 +19,7 @@ NAME_AND_EMAIL = ("first_name", "last_name", "email_address")
 
 def match_owners(batch: DataFrame, bridged: DataFrame, emails: DataFrame, run_date, grain: str = DAY) -> DataFrame:
     """Persons of the period that are not enriched yet, with each of their emails."""
-    persons = batch.select("person_key", "first_name", "last_name", "person_updated_date")
+    persons = with_time(batch, "person_updated_date", "person_key", "first_name", "last_name")
     changed = changed_in(persons, "person_updated_date", run_date, grain).drop("person_updated_date").distinct()
     fresh = own_shuffle(not_in(changed, "person_key", bridged))
     return fresh.join(emails.select("person_key", "email_address"), "person_key")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cleanroll.functions.periods import DAY, changed_in
+from cleanroll.functions.periods import DAY, changed_in, with_time
 from cleanroll.functions.phones import PLAN, standardise
 from cleanroll.functions.text import owner_request, phone_request, reverse_request
 from cleanroll.operators.joins import resolve_country
@@ -33,7 +33,7 @@ def escalates(results: Column) -> Column:
 
 
 def _outside_cooldown(numbers: DataFrame, histories, run_date, days: int) -> DataFrame:
-    renamed = [h.select(F.col("phone_number").alias(NUMBER), "updated_date") for h in histories]
+    renamed = [with_time(h, "updated_date", F.col("phone_number").alias(NUMBER)) for h in histories]
     return not_recent(numbers, NUMBER, *renamed, run_date=run_date, days=days)
 
 
@@ -45,9 +45,8 @@ def phone_candidates(
 
     A person with several addresses in one country gives one row per phone, not one per address.
     """
-    master = phones.where(F.col("telephone_number").isNotNull()).select(
-        "person_key", "telephone_number", "person_phone_key", "updated_date"
-    )
+    known = phones.where(F.col("telephone_number").isNotNull())
+    master = with_time(known, "updated_date", "person_key", "telephone_number", "person_phone_key")
     changed = changed_in(master, "updated_date", run_date, grain)
     owned = only_in(changed, "person_key", batch)
     located = resolve_country(owned, bridge, address, synonyms)
@@ -59,11 +58,12 @@ def phone_candidates_enriched(
     phones: DataFrame, *histories: DataFrame, run_date, days: int, grain: str = DAY, plan=PLAN
 ) -> DataFrame:
     """Enrichment phones changed in the period; no country is known, so the default region reads them."""
-    master = phones.where(F.col("phone_number").isNotNull()).select(
+    master = with_time(
+        phones.where(F.col("phone_number").isNotNull()),
+        "updated_date",
         F.col("enrichment_api_person_key").alias("person_key"),
         F.col("phone_number").alias("telephone_number"),
         F.col("enrichment_api_person_phone_key").alias("person_phone_key"),
-        "updated_date",
     )
     changed = changed_in(master, "updated_date", run_date, grain)
     asked = changed.withColumn("country_code", F.lit(None).cast("string"))

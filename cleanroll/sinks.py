@@ -7,8 +7,9 @@ from dataclasses import dataclass, field
 from typing import Protocol
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F
 
+from cleanroll.functions.periods import period_column, with_period
 from cleanroll.session import Stages, delete_path
 
 MANIFEST, RUN = "run_commit", "run_id"
@@ -42,21 +43,38 @@ class ParquetSink:
     partition, which a rerun overwrites instead of appending a second copy. They count from
     `commit` on: it writes one row to the manifest, by which `CommittedTables` reads. A run that
     fails between two tables leaves nothing visible, and neither does one that runs again, until it commits.
+
+    `periods` names the histories that are partitioned by time too: the time column and the grain of each. Period bounds
+    then leave the folders of other days or months unread (`changed_in`, `since`).
     """
 
     spark: SparkSession
     root: str
     names: Mapping[str, str] = field(default_factory=dict)
     run: str | None = None
+    periods: Mapping[str, tuple[str, str]] = field(default_factory=dict)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{self.names.get(name, name)}"
 
     def log(self, df: DataFrame, name: str) -> None:
-        df.write.mode("append").parquet(self.path(name))
+        self._writer(df, name).mode("append").parquet(self.path(name))
+
+    def _writer(self, df: DataFrame, name: str) -> DataFrameWriter:
+        """A period's rows are gathered first, so that not every task writes a file of every period; adaptive execution
+        splits a period that fills more than a file."""
+        if name not in self.periods:
+            return df.write
+        ts_col, grain = self.periods[name]
+        period = period_column(ts_col, grain)
+        return with_period(df, ts_col, grain).hint("rebalance", F.col(period)).write.partitionBy(period)
+
+    def _own(self, name: str) -> str:
+        """The run's folder of a table."""
+        return f"{self.path(name)}/{RUN}={quote(self.run, safe='-_.')}"
 
     def _marker(self) -> str:
-        return f"{self.path(MANIFEST)}/{RUN}={quote(self.run, safe='-_.')}"
+        return self._own(MANIFEST)
 
     def begin(self) -> None:
         if self.run is not None:
@@ -70,13 +88,8 @@ class ParquetSink:
         if self.run is None:
             self.log(df, name)
             return
-        (
-            df.withColumn(RUN, F.lit(self.run))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(RUN)
-            .parquet(self.path(name))
-        )
+        # The whole folder of the run is replaced: a rerun without rows, or without some of the periods, leaves none of the old.
+        self._writer(df.drop(RUN), name).mode("overwrite").option("partitionOverwriteMode", "static").parquet(self._own(name))
 
 
 @dataclass(frozen=True)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from cleanroll.functions import text as txt
 from cleanroll.functions.addresses import ADDRESS_COLUMNS, FULL_COLUMNS, address_key, street_parts, truncated, upper_trim
 from cleanroll.functions.emails import valid_email
-from cleanroll.functions.periods import MONTH, changed_in, shifted_date, since
+from cleanroll.functions.periods import MONTH, changed_in, shifted_date, since, with_time
 from cleanroll.functions.phones import e164, standardise
 from cleanroll.operators import joins, providers, sets
 from cleanroll.operators.bodies import at as at_path
@@ -281,7 +281,7 @@ def _(t):
 
 @query("filter_since", oracle(f"select person_email_key, updated_date from email_history where {SINCE.format('updated_date')}", "email_history"))
 def _(t):
-    return since(t.email_history.select("person_email_key", "updated_date"), "updated_date", RUN_DATE, DAYS)
+    return since(with_time(t.email_history, "updated_date", "person_email_key"), "updated_date", RUN_DATE, DAYS)
 
 
 VERDICT_PATH = "WebServiceResponse.VerifyEmailResponse.VerifyEmailResult"

@@ -12,7 +12,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cleanroll.functions.periods import MONTH
 from cleanroll.session import scratch_root
+from cleanroll.sinks import ParquetSink
 from cleanroll.sources.current import CurrentAnswers
 from standins.bodies import EXTRA, OWNER, TEMPLATES
 
@@ -230,21 +232,25 @@ def _spark_sql(sf_dir: str, name: str) -> str:
 # Contacts and responses are stored tables in real life: Spark writes them to the shared folder on
 # first use in a session, and the queries scan them there.
 STORED = {"person_email", "enrichment_email", "person_phone", "enrichment_phone"}
+# Histories are stored by month: the given tables have few rows a day.
+HISTORIES = {"email_history", "enrichment_email_history", "event_email_history", "phone_history", "enrichment_phone_history", "exchange_history", "reverse_history"}
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
 def standin(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One role table as a DataFrame over the parquet files of `sf_dir`."""
     sf_dir = sf_dir.rstrip("/")
-    if name not in STORED and not name.endswith("_landed"):
+    if name not in STORED | HISTORIES and not name.endswith("_landed"):
         return spark.sql(_spark_sql(sf_dir, name))
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _WRITTEN:
-        path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-        # Several files, as a stored table has: the given ones are single files and would be read by one task.
-        files = spark.sparkContext.defaultParallelism
-        spark.sql(_spark_sql(sf_dir, name)).repartition(files).write.parquet(path)
-        _WRITTEN[key] = path
+        rows, folder = spark.sql(_spark_sql(sf_dir, name)), f"{name}-{uuid.uuid4().hex}"
+        if name in HISTORIES:
+            ParquetSink(spark, scratch_root(spark), periods={folder: ("updated_date", MONTH)}).append(rows, folder)
+        else:
+            # Several files, as a stored table has: the given ones are single files and would be read by one task.
+            rows.repartition(spark.sparkContext.defaultParallelism).write.parquet(f"{scratch_root(spark)}/{folder}")
+        _WRITTEN[key] = f"{scratch_root(spark)}/{folder}"
     return spark.read.parquet(_WRITTEN[key])
 
 
