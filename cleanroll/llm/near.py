@@ -115,8 +115,9 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def profiles(docs: DataFrame) -> DataFrame:
-    """Every row of `docs` with `_row` (its number), `_content` (16 bytes of its words; null without any) and `_sig`."""
-    fields = [f for f in docs.schema.fields if f.name not in ("_row", "_content", "_sig")]
+    """Every row of `docs` with `_row` (its number), `_content` (16 bytes of its words; null without any) and `_bands`, a
+    hash of each band of its signature, which is all that later steps need of it."""
+    fields = [f for f in docs.schema.fields if f.name not in ("_row", "_content", "_sig", "_bands")]
     own = [StructField("_row", LongType()), StructField("_content", BinaryType()), StructField("_sig", BinaryType())]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,13 +143,14 @@ def profiles(docs: DataFrame) -> DataFrame:
                 names=[f.name for f in fields + own],
             )
 
-    return docs.select(*[F.col(f"`{f.name}`") for f in fields]).mapInArrow(sign, StructType(fields + own))
+    signed = docs.select(*[F.col(f"`{f.name}`") for f in fields]).mapInArrow(sign, StructType(fields + own))
+    bands = F.array(*[F.xxhash64(F.lit(b), F.substring("_sig", b * ROWS * 4 + 1, ROWS * 4)) for b in range(BANDS)])
+    return signed.withColumn("_bands", bands).drop("_sig")
 
 
 def band_members(stages: Stages, nodes: DataFrame) -> DataFrame:
-    """`b, band, node, n` for the bands that two nodes or more share, n of them."""
-    keys = F.array(*[F.xxhash64(F.lit(b), F.substring("_sig", b * ROWS * 4 + 1, ROWS * 4)) for b in range(BANDS)])
-    bands = nodes.select("node", F.posexplode(keys).alias("b", "band"))
+    """`band, node, n` for the bands that two nodes or more share, n of them."""
+    bands = nodes.select("node", F.explode("_bands").alias("band"))
     shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return bands.join(stages.write(shared, "bands"), "band")
 
@@ -206,18 +208,18 @@ def long_signatures(texts: DataFrame) -> DataFrame:
 def close_pairs(split: DataFrame) -> DataFrame:
     """`a, b` of different labels that share a band and whose signatures do not rule them out, each pair once.
 
-    `split` has `b, band, node, label, n, _sig, _long`, n being the band's members and b its number. A band is dealt into
-    tiles of about `TILE` members and each two tiles meet in one cell, so no group is ever whole in a task. A pair is
-    left to the first of the bands it shares.
+    `split` has `band, node, label, n, _long`, n being the band's members. A band is dealt into tiles of about `TILE`
+    members and each two tiles meet in one cell, so no group is ever whole in a task. As many places as a signature has
+    are looked at first, then all. A pair that meets in several bands is made one behind the cells.
     """
     tiles = F.ceil(F.col("n") / TILE).cast("int")
     tiled = split.withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     other = tiled.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    cells = other.select("b", "band", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "node", "label", "_sig", "_long")
+    cells = other.select("band", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "node", "label", "_long")
 
     def meet(cell: pd.DataFrame) -> pd.DataFrame:
-        sig, long = (np.frombuffer(b"".join(cell[c]), dtype=t).reshape(len(cell), -1) for c, t in (("_sig", np.uint32), ("_long", np.uint8)))
-        bands = sig.reshape(len(cell), BANDS, ROWS)[:, : int(cell["b"].iloc[0])]
+        long = np.frombuffer(b"".join(cell["_long"]), dtype=np.uint8).reshape(len(cell), -1)
+        some = np.ascontiguousarray(long[:, :SIGNATURE])
         node, label, tile = (cell[c].to_numpy() for c in ("node", "label", "tile"))
         across = cell["i"].iloc[0] != cell["j"].iloc[0]
         out = []
@@ -226,13 +228,12 @@ def close_pairs(split: DataFrame) -> DataFrame:
             if across:
                 near &= tile[:k] != tile[k]
             at = np.flatnonzero(near)
-            at = at[(sig[at] == sig[k]).sum(axis=1) >= ESTIMATE * sig.shape[1]]
-            at = at[~(bands[at] == bands[k]).all(axis=2).any(axis=1)]
+            at = at[(some[at] == some[k]).sum(axis=1) >= ESTIMATE * SIGNATURE]
             at = at[(long[at] == long[k]).sum(axis=1) >= LONG_ESTIMATE * LONG]
             out += [(max(node[k], x), min(node[k], x)) for x in node[at]]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return cells.groupBy("band", "i", "j").applyInPandas(meet, "a long, b long")
+    return cells.groupBy("band", "i", "j").applyInPandas(meet, "a long, b long").distinct()
 
 
 def links(stages: Stages, nodes: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -242,20 +243,18 @@ def links(stages: Stages, nodes: DataFrame, texts: DataFrame, least: float = SIM
     text have that text in common. In bands that are then not of one component, members with different labels are compared
     by signature, tile by tile, and the close ones by their texts. A pair is skipped only where both ends are linked
     already or their signatures are far apart (at similarity 0.8 below 1e-7), and copies in one component never meet each other.
-    Texts and signatures of nodes that share no band are left behind at once: later joins move the others only.
+    Texts of nodes that share no band are left behind at once: later joins move the others only.
     """
     members = stages.write(band_members(stages, nodes), "members")
     company = stages.write(members.groupBy("node").agg(F.sum("n").alias("company")), "company")
-    met = company.select("node")
-    held = stages.write(nodes.join(met, "node", "left_semi").join(texts.join(met, "node", "left_semi"), "node").select("node", "_sig", "text"), "held")
-    texts = held.select("node", "text")
+    texts = stages.write(texts.join(company.select("node"), "node", "left_semi"), "held")
     known = members.join(company, "node")
     chosen = known.groupBy("band").agg(F.max(F.struct("company", "node")).alias("c")).select("band", F.col("c.node").alias("centre"))
     centres = stages.write(chosen, "centres")
     star = members.join(centres, "band").where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
     pairs = stages.write(star, "pairs")
     edges = stages.write(verified(pairs, texts, least), "linked")
-    of_node = members.join(components(stages, edges), "node", "left").select("b", "band", "n", "node", F.coalesce("label", "node").alias("label"))
+    of_node = members.join(components(stages, edges), "node", "left").select("band", "n", "node", F.coalesce("label", "node").alias("label"))
     labelled = stages.write(of_node, "labelled")
     stages.drop(members, company, centres, pairs)
     bands = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band")
@@ -263,7 +262,7 @@ def links(stages: Stages, nodes: DataFrame, texts: DataFrame, least: float = SIM
     split = stages.write(labelled.join(uneven, "band"), "split")
     stages.drop(labelled, uneven)
     long = stages.write(long_signatures(texts.join(split.select("node").distinct(), "node")), "long")
-    fresh = stages.write(close_pairs(split.join(held.select("node", "_sig").join(long, "node"), "node")), "pairs")
+    fresh = stages.write(close_pairs(split.join(long, "node")), "pairs")
     stages.drop(split, long)
     return components(stages, edges.union(stages.write(verified(fresh, texts, least), "linked")))
 
@@ -271,9 +270,9 @@ def links(stages: Stages, nodes: DataFrame, texts: DataFrame, least: float = SIM
 def decisions(stages: Stages, staged: DataFrame, least: float) -> DataFrame:
     """`_row, class_id, keeper` of the rows of `staged` that have words. What it stages goes with `stages`."""
     with_words = staged.where(F.col("_content").isNotNull())
-    nodes = stages.write(with_words.groupBy("_content").agg(F.min("_row").alias("node"), F.max("_sig").alias("_sig")), "nodes")
+    nodes = stages.write(with_words.groupBy("_content").agg(F.min("_row").alias("node"), F.max("_bands").alias("_bands")), "nodes")
     texts = staged.select(F.col("_row").alias("node"), "text")
-    labels = links(stages, nodes.select("node", "_sig"), texts, least)
+    labels = links(stages, nodes.select("node", "_bands"), texts, least)
     home = stages.write(nodes.select("_content", "node").join(labels, "node", "left").select("_content", F.coalesce("label", "node").alias("label")), "home")
     rows = stages.write(with_words.select("_row", "doc_id", "_content").join(home, "_content").select("_row", "doc_id", "label"), "rows")
     ids = rows.groupBy("label").agg(F.min("doc_id").alias("class_id"))
@@ -288,12 +287,13 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     A class holds texts of equal words and texts linked by a similarity of `least` or more over runs of five words. A null
     or empty text, or one without words, is a class by itself, as its keeper. A null doc_id takes part; it is the
     class_id only where a class has no other. The keeper has the least doc_id; of repeated rows, the first stays.
+    Columns of `docs` named `_row`, `_content`, `_sig` or `_bands` are left out, class_id and keeper replaced.
     """
     docs = docs.drop(*({"class_id", "keeper"} & set(docs.columns)))
     staged = stage(profiles(docs), "profiles")
     with Stages(docs.sparkSession) as stages:
         decided = stage(decisions(stages, staged, least), "decided")
-    joined = staged.drop("_sig").join(decided, "_row", "left")
+    joined = staged.drop("_bands").join(decided, "_row", "left")
     alone = F.col("_content").isNull()
     return joined.withColumn("class_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id"))).withColumn(
         "keeper", alone | F.coalesce("keeper", F.lit(False))
