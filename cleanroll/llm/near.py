@@ -149,8 +149,8 @@ def profiles(docs: DataFrame) -> DataFrame:
 
 
 def band_members(stages: Stages, nodes: DataFrame) -> DataFrame:
-    """`band, node, n` for the bands that two nodes or more share, n of them."""
-    bands = nodes.select("node", F.explode("_bands").alias("band"))
+    """`b, band, node, n` for the bands that two nodes or more share, n of them; b is the band's number."""
+    bands = nodes.select("node", F.posexplode("_bands").alias("b", "band"))
     shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return bands.join(stages.write(shared, "bands"), "band")
 
@@ -208,18 +208,20 @@ def long_signatures(texts: DataFrame) -> DataFrame:
 def close_pairs(split: DataFrame) -> DataFrame:
     """`a, b` of different labels that share a band and whose signatures do not rule them out, each pair once.
 
-    `split` has `band, node, label, n, _long`, n being the band's members. A band is dealt into tiles of about `TILE`
-    members and each two tiles meet in one cell, so no group is ever whole in a task. As many places as a signature has
-    are looked at first, then all. A pair that meets in several bands is made one behind the cells.
+    `split` has `b, band, node, label, n, _long, _bands`, n being the band's members and b its number. A band is dealt into
+    tiles of about `TILE` members and each two tiles meet in one cell, so no group is ever whole in a task. As many places
+    as a signature has are looked at first, then all. A pair is left to the first of the bands it shares; a member takes
+    the hashes of the bands before this one along.
     """
     tiles = F.ceil(F.col("n") / TILE).cast("int")
     tiled = split.withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     other = tiled.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    cells = other.select("band", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "node", "label", "_long")
+    cells = other.select("band", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "node", "label", "_long", F.slice("_bands", 1, F.col("b")).alias("earlier"))
 
     def meet(cell: pd.DataFrame) -> pd.DataFrame:
         long = np.frombuffer(b"".join(cell["_long"]), dtype=np.uint8).reshape(len(cell), -1)
         some = np.ascontiguousarray(long[:, :SIGNATURE])
+        earlier = np.stack(cell["earlier"].to_list())
         node, label, tile = (cell[c].to_numpy() for c in ("node", "label", "tile"))
         across = cell["i"].iloc[0] != cell["j"].iloc[0]
         out = []
@@ -229,11 +231,12 @@ def close_pairs(split: DataFrame) -> DataFrame:
                 near &= tile[:k] != tile[k]
             at = np.flatnonzero(near)
             at = at[(some[at] == some[k]).sum(axis=1) >= ESTIMATE * SIGNATURE]
+            at = at[~(earlier[at] == earlier[k]).any(axis=1)]
             at = at[(long[at] == long[k]).sum(axis=1) >= LONG_ESTIMATE * LONG]
             out += [(max(node[k], x), min(node[k], x)) for x in node[at]]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return cells.groupBy("band", "i", "j").applyInPandas(meet, "a long, b long").distinct()
+    return cells.groupBy("band", "i", "j").applyInPandas(meet, "a long, b long")
 
 
 def links(stages: Stages, nodes: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -254,15 +257,17 @@ def links(stages: Stages, nodes: DataFrame, texts: DataFrame, least: float = SIM
     star = members.join(centres, "band").where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
     pairs = stages.write(star, "pairs")
     edges = stages.write(verified(pairs, texts, least), "linked")
-    of_node = members.join(components(stages, edges), "node", "left").select("band", "n", "node", F.coalesce("label", "node").alias("label"))
+    of_node = members.join(components(stages, edges), "node", "left").select("b", "band", "n", "node", F.coalesce("label", "node").alias("label"))
     labelled = stages.write(of_node, "labelled")
     stages.drop(members, company, centres, pairs)
     bands = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band")
     uneven = stages.write(bands, "uneven")
     split = stages.write(labelled.join(uneven, "band"), "split")
     stages.drop(labelled, uneven)
-    long = stages.write(long_signatures(texts.join(split.select("node").distinct(), "node")), "long")
-    fresh = stages.write(close_pairs(split.join(long, "node")), "pairs")
+    unlike = split.select("node").distinct()
+    long = stages.write(long_signatures(texts.join(unlike, "node")), "long")
+    signed = nodes.join(unlike, "node", "left_semi").join(long, "node")
+    fresh = stages.write(close_pairs(split.join(signed, "node")), "pairs")
     stages.drop(split, long)
     return components(stages, edges.union(stages.write(verified(fresh, texts, least), "linked")))
 
