@@ -47,16 +47,8 @@ class CurrentAnswers:
 
         Of several answers to a key the newest stays; of equal times the greatest body.
         """
-        from cleanroll.sources.answers import good_answers, newest
-
-        fresh = newest(good_answers(landed, provider, fetched_since).where(F.col(KEY).isNotNull()))
         generations = self._generations(provider)
-        if generations:
-            current = self.spark.table(generations[-1][1]).select(KEY, F.struct("fetched_at", "body").alias("old"))
-            new = fresh.select(KEY, F.struct("fetched_at", "body").alias("new")).hint("shuffle_hash")
-            merged = current.join(new, KEY, "full_outer").select(KEY, F.greatest("old", "new").alias("a")).select(KEY, "a.fetched_at", "a.body")
-        else:
-            merged = fresh.repartition(self.buckets, KEY)
+        merged = self.merged(landed, provider, fetched_since)
         number = generations[-1][0] + 1 if generations else 0
         name = f"{self.name}_{provider}_g{number}_{uuid.uuid4().hex[:8]}"
         merged.write.bucketBy(self.buckets, KEY).option("path", f"{self.root}/{name}").option("compression", "zstd").saveAsTable(name)
@@ -64,6 +56,19 @@ class CurrentAnswers:
             self.spark.sql(f"DROP TABLE IF EXISTS {old}")
             delete_path(self.spark, f"{self.root}/{old}")
 
+    def merged(self, landed: DataFrame, provider: str, fetched_since=None) -> DataFrame:
+        """The table that `fold` writes. The new answers are sent to the buckets, as many as there are: with another number
+        of partitions than that, the join would send the whole table to theirs."""
+        from cleanroll.sources.answers import good_answers, newest
+
+        fresh = newest(good_answers(landed, provider, fetched_since).where(F.col(KEY).isNotNull())).repartition(self.buckets, KEY)
+        generations = self._generations(provider)
+        if not generations:
+            return fresh
+        current = self.spark.table(generations[-1][1]).select(KEY, F.struct("fetched_at", "body").alias("old"))
+        new = fresh.select(KEY, F.struct("fetched_at", "body").alias("new")).hint("shuffle_hash")
+        return current.join(new, KEY, "full_outer").select(KEY, F.greatest("old", "new").alias("a")).select(KEY, "a.fetched_at", "a.body")
+
     def answers(self, keys: DataFrame, provider: str, fetched_since=None) -> DataFrame:
         """`keys` plus `fetched_at, body` of those with an answer, fetched since `fetched_since` if it is given."""
         current = self.table(provider)

@@ -223,9 +223,10 @@ def ctes(*names: str) -> list[tuple[str, str]]:
     return list(done.items())
 
 
-def _spark_sql(sf_dir: str, name: str) -> str:
+def _spark_sql(sf_dir: str, name: str, deal: int = 0) -> str:
+    """The table as Spark SQL; its given tables, cut to the columns it reads, are dealt to `deal` tasks if that is given."""
     with_ = ", ".join(f"{n} as ({sql})" for n, sql in ctes(name))
-    files = rf"\1 parquet.`{sf_dir}/\2.parquet`"
+    files = rf"\1 (select /*+ REPARTITION({deal}) */ * from parquet.`{sf_dir}/\2.parquet`)" if deal else rf"\1 parquet.`{sf_dir}/\2.parquet`"
     return _BASE.sub(files, f"with {with_} select * from {name}")
 
 
@@ -244,12 +245,14 @@ def standin(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return spark.sql(_spark_sql(sf_dir, name))
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _WRITTEN:
-        rows, folder = spark.sql(_spark_sql(sf_dir, name)), f"{name}-{uuid.uuid4().hex}"
+        # Several files, as a stored table has: the given ones are single files and would be read by one task. Their rows are
+        # dealt before texts are made of them; the keys of most answers come from a join or a distinct, which deals them anyway.
+        deal = spark.sparkContext.defaultParallelism if name in STORED | {"email_landed"} else 0
+        rows, folder = spark.sql(_spark_sql(sf_dir, name, deal)), f"{name}-{uuid.uuid4().hex}"
         if name in HISTORIES:
             ParquetSink(spark, scratch_root(spark), periods={folder: ("updated_date", MONTH)}).append(rows, folder)
         else:
-            # Several files, as a stored table has: the given ones are single files and would be read by one task.
-            rows.repartition(spark.sparkContext.defaultParallelism).write.parquet(f"{scratch_root(spark)}/{folder}")
+            rows.write.option("compression", "zstd").parquet(f"{scratch_root(spark)}/{folder}")
         _WRITTEN[key] = f"{scratch_root(spark)}/{folder}"
     return spark.read.parquet(_WRITTEN[key])
 
@@ -258,15 +261,15 @@ CURRENT_BUCKETS = 16
 
 
 def current_answers(spark: SparkSession, sf_dir: str, name: str) -> CurrentAnswers:
-    """The current answers of a landed table, folded in on first use: first half of its keys, then all."""
+    """The current answers of a landed table, folded in on first use: one half of its keys, then the other."""
     landed, sf_dir = standin(spark, sf_dir, name), sf_dir.rstrip("/")
     key = (spark.sparkContext.applicationId, sf_dir, f"current {name}")
     if key not in _WRITTEN:
         _WRITTEN[key] = f"current_{uuid.uuid4().hex[:12]}"
         current = CurrentAnswers(spark, _WRITTEN[key], scratch_root(spark), CURRENT_BUCKETS)
         provider = landed.select("provider").first().provider
-        current.fold(landed.where("hash(request_key) % 2 = 0"), provider)
-        current.fold(landed, provider)
+        for half in ("hash(request_key) % 2 = 0", "hash(request_key) % 2 <> 0"):  # rows without a key are in neither, no fold takes them
+            current.fold(landed.where(half), provider)
     return CurrentAnswers(spark, _WRITTEN[key], scratch_root(spark), CURRENT_BUCKETS)
 
 

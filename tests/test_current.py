@@ -62,3 +62,26 @@ def test_bodies_are_neither_shuffled_nor_sorted(spark, current, threshold):
     assert "ShuffledHashJoin" in plan and "Sort" not in plan.replace("SortBy", "")
     assert "Bucketed: true" in plan and plan.count("Exchange") == 1
     assert re.search(r"Exchange hashpartitioning\(request_key#\d+, 3\).*\n.*Project \[chr", plan)  # the keys' own
+
+
+def test_a_fold_leaves_the_table_in_its_buckets(spark, current):
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")  # more than the table has buckets
+    try:
+        again = landed(spark, ("email", "a", 200, "late", "2024-03-01"), ("email", "e", 200, "e", "2024-02-01"))
+        merged = current.merged(again, "email")
+        assert values(merged, "request_key", "body") == [("a", "late"), ("b", "b"), ("e", "e")]
+        plan = merged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].splitlines()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    above = plan[: next(k for k, line in enumerate(plan) if "Bucketed: true" in line)]
+    assert not any("Exchange" in line for line in above)
+    assert sum("Exchange" in line for line in plan) == 2  # of the new answers: to be made one a key, and to the buckets
+
+
+def test_stored_rows_are_dealt_before_their_texts_are_made(spark, tmp_path):
+    from standins.tables import _spark_sql
+
+    spark.range(9).selectExpr("id as o_orderkey", "id as o_custkey", "date'2001-07-01' as o_orderdate", "'x' as other").write.parquet(f"{tmp_path}/orders.parquet")
+    plan = spark.sql(_spark_sql(str(tmp_path), "person_email", 3))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("case when" if "case when" in plan else "CASE WHEN") < plan.index("Repartition") and "other" not in plan.split("Relation")[0]
