@@ -11,7 +11,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import BinaryType, DoubleType, LongType, StructField, StructType
 
 from cleanroll.session import Stages, stage
@@ -148,11 +148,13 @@ def profiles(docs: DataFrame) -> DataFrame:
     return signed.withColumn("_bands", bands).drop("_sig")
 
 
-def band_members(stages: Stages, nodes: DataFrame) -> DataFrame:
-    """`b, band, node, n` for the bands that two nodes or more share, n of them; b is the band's number."""
+def band_members(nodes: DataFrame) -> DataFrame:
+    """`b, band, node, n` for the bands that two nodes or more share, n of them; b is the band's number.
+
+    Bands are moved once: most nodes share none, and a count of its own would move nearly as many rows again.
+    """
     bands = nodes.select("node", F.posexplode("_bands").alias("b", "band"))
-    shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return bands.join(stages.write(shared, "bands"), "band")
+    return bands.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("band"))).where("n > 1")
 
 
 @F.pandas_udf(DoubleType())
@@ -208,20 +210,25 @@ def long_signatures(texts: DataFrame) -> DataFrame:
 def close_pairs(split: DataFrame) -> DataFrame:
     """`a, b` of different labels that share a band and whose signatures do not rule them out, each pair once.
 
-    `split` has `b, band, node, label, n, _long, _bands`, n being the band's members and b its number. A band is dealt into
+    `split` has `node, label, _long` and `of`, an array of `(b, band, n)`: the node's bands with more than one label, n being the band's
+    members and b its number. A band is dealt into
     tiles of about `TILE` members and each two tiles meet in one cell, so no group is ever whole in a task. As many places
     as a signature has are looked at first, then all. A pair is left to the first of the bands it shares; a member takes
-    the hashes of the bands before this one along.
+    the hashes of its bands before this one along. Those with one label alone are not needed for it: no pair of two labels shares one.
     """
     tiles = F.ceil(F.col("n") / TILE).cast("int")
-    tiled = split.withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+    rows = split.select("node", "label", "_long", "of", F.explode("of").alias("at")).select("*", "at.b", "at.band", "at.n")
+    earlier = F.filter("of", lambda x: x["b"] < F.col("b"))
+    tiled = rows.withColumn("places", earlier["b"]).withColumn("earlier", earlier["band"]).drop("of", "at").withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     other = tiled.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    cells = other.select("band", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "node", "label", "_long", F.slice("_bands", 1, F.col("b")).alias("earlier"))
+    cells = other.select("band", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "node", "label", "_long", "places", "earlier")
 
     def meet(cell: pd.DataFrame) -> pd.DataFrame:
         long = np.frombuffer(b"".join(cell["_long"]), dtype=np.uint8).reshape(len(cell), -1)
         some = np.ascontiguousarray(long[:, :SIGNATURE])
-        earlier = np.stack(cell["earlier"].to_list())
+        earlier = np.repeat(-1 - np.arange(len(cell))[:, None], BANDS, axis=1)  # where a row has no band, a value of its own
+        for k, (places, hashes) in enumerate(zip(cell["places"], cell["earlier"], strict=True)):
+            earlier[k, places] = hashes
         node, label, tile = (cell[c].to_numpy() for c in ("node", "label", "tile"))
         across = cell["i"].iloc[0] != cell["j"].iloc[0]
         out = []
@@ -248,7 +255,7 @@ def links(stages: Stages, nodes: DataFrame, texts: DataFrame, least: float = SIM
     already or their signatures are far apart (at similarity 0.8 below 1e-7), and copies in one component never meet each other.
     Texts of nodes that share no band are left behind at once: later joins move the others only.
     """
-    members = stages.write(band_members(stages, nodes), "members")
+    members = stages.write(band_members(nodes), "members")
     company = stages.write(members.groupBy("node").agg(F.sum("n").alias("company")), "company")
     texts = stages.write(texts.join(company.select("node"), "node", "left_semi"), "held")
     known = members.join(company, "node")
@@ -262,18 +269,20 @@ def links(stages: Stages, nodes: DataFrame, texts: DataFrame, least: float = SIM
     stages.drop(members, company, centres, pairs)
     bands = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band")
     uneven = stages.write(bands, "uneven")
-    split = stages.write(labelled.join(uneven, "band"), "split")
+    of = labelled.join(uneven, "band").groupBy("node", "label").agg(F.collect_list(F.struct("b", "band", "n")).alias("of"))
+    split = stages.write(of, "split")
     stages.drop(labelled, uneven)
-    unlike = split.select("node").distinct()
-    long = stages.write(long_signatures(texts.join(unlike, "node")), "long")
-    signed = nodes.join(unlike, "node", "left_semi").join(long, "node")
-    fresh = stages.write(close_pairs(split.join(signed, "node")), "pairs")
+    unlike = stages.write(texts.join(split.select("node"), "node", "left_semi"), "unlike")
+    stages.drop(texts)
+    texts = unlike
+    long = stages.write(long_signatures(texts), "long")
+    fresh = stages.write(close_pairs(split.join(long, "node")), "pairs")
     stages.drop(split, long)
     return components(stages, edges.union(stages.write(verified(fresh, texts, least), "linked")))
 
 
 def decisions(stages: Stages, staged: DataFrame, least: float) -> DataFrame:
-    """`_row, class_id, keeper` of the rows of `staged` that have words. What it stages goes with `stages`."""
+    """`_row, class_id` of the rows of `staged` that are not the keepers of their classes. What it stages goes with `stages`."""
     with_words = staged.where(F.col("_content").isNotNull())
     nodes = stages.write(with_words.groupBy("_content").agg(F.min("_row").alias("node"), F.max("_bands").alias("_bands")), "nodes")
     texts = staged.select(F.col("_row").alias("node"), "text")
@@ -283,7 +292,7 @@ def decisions(stages: Stages, staged: DataFrame, least: float) -> DataFrame:
     ids = rows.groupBy("label").agg(F.min("doc_id").alias("class_id"))
     firsts = rows.join(stages.write(ids, "ids"), "label")
     kept = firsts.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("label").agg(F.min("_row").alias("_row"))
-    return firsts.join(kept.select("_row", F.lit(True).alias("keeper")), "_row", "left").select("_row", "class_id", F.coalesce("keeper", F.lit(False)).alias("keeper"))
+    return firsts.select("_row", "class_id").join(kept.select("_row"), "_row", "left_anti")
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -298,8 +307,9 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     staged = stage(profiles(docs), "profiles")
     with Stages(docs.sparkSession) as stages:
         decided = stage(decisions(stages, staged, least), "decided")
-    joined = staged.drop("_bands").join(decided, "_row", "left")
-    alone = F.col("_content").isNull()
-    return joined.withColumn("class_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id"))).withColumn(
-        "keeper", alone | F.coalesce("keeper", F.lit(False))
-    ).drop("_row", "_content")
+    # Keepers have the least doc_id of their class as their own, and are most rows: only the others are looked up.
+    left = decided.select("_row", F.col("class_id").alias("_class"), F.lit(True).alias("_left"))
+    joined = staged.drop("_bands").join(left, "_row", "left")
+    return joined.withColumn("class_id", F.when(F.col("_left"), F.col("_class")).otherwise(F.col("doc_id"))).withColumn(
+        "keeper", F.col("_left").isNull()
+    ).drop("_row", "_content", "_class", "_left")
