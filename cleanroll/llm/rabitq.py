@@ -18,6 +18,7 @@ SEED = 7
 CODE_ROWS = 8192  # vectors of a block
 QUERY_ROWS = 1024  # queries of a block
 QUERY_BITS = 4
+QUERIES_AT_ONCE = 128  # whose sums over a block's codes are held together
 
 
 def rotation(d: int, seed: int = SEED) -> np.ndarray:
@@ -53,18 +54,32 @@ def planes(query: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, float, floa
     return bits, low, step, low * len(turn) + step * float(whole.sum())
 
 
-def estimates(codes: np.ndarray, ones: np.ndarray, norm: np.ndarray, factor: np.ndarray, query: np.ndarray, turn: np.ndarray, epsilon: float = EPSILON):
+def unpacked(codes: np.ndarray) -> np.ndarray:
+    """The bits of packed codes as 0.0 or 1.0."""
+    return np.unpackbits(codes.view(np.uint8), axis=1, bitorder="little").astype(np.float32)
+
+
+def sums_inside(bits: np.ndarray, queries: list[tuple]) -> np.ndarray:
+    """Per query (its `planes`) and code, the sum of the quantised components where the code's bit is set.
+
+    A product of matrices instead of a count of bits for each pair and plane; sums are whole numbers far below 2 ** 24, so
+    they are the same.
+    """
+    whole = sum((1 << b) * unpacked(np.stack([q[0][b] for q in queries])) for b in range(QUERY_BITS))
+    return whole @ bits.T
+
+
+def estimates(codes: np.ndarray, ones: np.ndarray, norm: np.ndarray, factor: np.ndarray, query: np.ndarray, turn: np.ndarray, epsilon: float = EPSILON, plane: tuple | None = None, inside: np.ndarray | None = None):
     """Estimated inner products of all codes with a query, and how far the true ones may be off.
 
     The code's corners are +-1/sqrt(d), so its product with the quantised query is twice the sum over set bits less the
     sum over all. Dividing by the code's product with its own vector makes the estimate unbiased; what is left is the part
-    of the vector across its code, of random direction.
+    of the vector across its code, of random direction. `plane` and `inside`, if the caller has them for many queries, are
+    the query's `planes` and its row of `sums_inside`.
     """
     d = len(turn)
-    bits, low, step, total = planes(query, turn)
-    inside = np.zeros(len(codes))
-    for b in range(QUERY_BITS):
-        inside += float(1 << b) * np.bitwise_count(codes & bits[b]).sum(axis=1)
+    _, low, step, total = plane = plane or planes(query, turn)
+    inside = (sums_inside(unpacked(codes), [plane])[0] if inside is None else inside).astype(np.float64)
     dot = (2.0 * (low * ones + step * inside) - total) / math.sqrt(d)
     size = float(np.sqrt((query**2).sum()))
     across = np.sqrt(np.maximum(0.0, 1.0 - factor**2)) / factor * epsilon / math.sqrt(max(1, d - 1))
@@ -77,19 +92,30 @@ def exact(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     return np.cumsum(vectors * query, axis=1)[:, -1]
 
 
-def best_of_block(query_id: int, query: np.ndarray, ids: np.ndarray, vectors: np.ndarray, codes, ones, norm, factor, turn, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and scores of a block's `k` best. The k best estimates are scored first; then all whose bound reaches the k-th score."""
+def best_of_block(query_id: int, query: np.ndarray, ids: np.ndarray, vectors: np.ndarray, codes, ones, norm, factor, turn, k: int, plane: tuple | None = None, inside: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and scores of a block's `k` best. The k best estimates are scored first; then all whose bound reaches the k-th score.
+
+    Of those, a plain product in doubles leaves the ones that reach the k-th of its values but for rounding: they are summed in order.
+    """
     other = ids != query_id
-    guess, off = estimates(codes, ones, norm, factor, query, turn)
+    guess, off = estimates(codes, ones, norm, factor, query, turn, plane=plane, inside=inside)
     guess = np.where(other, guess, -np.inf)
     if len(ids) > k:
         first = np.argpartition(-guess, k - 1)[:k]
         first = first[other[first]]
         floor = exact(vectors[first], query).min() if len(first) == k else -np.inf
-        chosen = np.flatnonzero((guess + off >= floor) & other)
-        chosen = np.union1d(chosen, first)
+        reaches = (guess + off >= floor) & other
+        reaches[first] = True
+        chosen = np.flatnonzero(reaches)
     else:
         chosen = np.flatnonzero(other)
+    if len(chosen) > k:
+        with np.errstate(over="ignore", invalid="ignore"):
+            # Rows are picked out where that is less work than the product.
+            rough = vectors[chosen] @ query if 8 * len(chosen) < len(ids) else (vectors @ query)[chosen]
+            slack = 4 * len(query) * np.finfo(np.float64).eps * norm[chosen].max() * float(np.sqrt((query**2).sum()))
+            if np.isfinite(rough).all() and np.isfinite(slack):
+                chosen = chosen[rough >= np.partition(rough, -k)[-k] - slack]
     score = exact(vectors[chosen], query)
     order = np.lexsort((ids[chosen], -score))[:k]
     return ids[chosen][order], score[order]
@@ -141,9 +167,13 @@ def search(indexed: DataFrame, queries: DataFrame, k: int = K, seed: int = SEED,
             codes = np.frombuffer(b"".join(block["code"]), dtype=np.uint64).reshape(len(block), -1)
             ones = np.bitwise_count(codes).sum(axis=1).astype(np.float64)
             ids, norm, factor = (block[c].to_numpy() for c in ("vec_id", "norm", "factor"))
-            for query_id, raw in zip(asked["vec_id"].to_numpy(), asked["vector"], strict=True):
-                found, score = best_of_block(query_id, np.frombuffer(raw, dtype=np.float64), ids, vectors, codes, ones, norm, factor, turn, k)
-                out.append((np.full(len(found), query_id), found, score))
+            bits, names = unpacked(codes), asked["vec_id"].to_numpy()
+            for first in range(0, len(asked), QUERIES_AT_ONCE):
+                some = [np.frombuffer(raw, dtype=np.float64) for raw in asked["vector"].iloc[first : first + QUERIES_AT_ONCE]]
+                cut = [planes(query, turn) for query in some]
+                for query_id, query, plane, inside in zip(names[first : first + len(some)], some, cut, sums_inside(bits, cut), strict=True):
+                    found, score = best_of_block(query_id, query, ids, vectors, codes, ones, norm, factor, turn, k, plane, inside)
+                    out.append((np.full(len(found), query_id), found, score))
         columns = [np.concatenate(c) for c in zip(*out, strict=True)]
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
 

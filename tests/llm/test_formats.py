@@ -174,3 +174,25 @@ def test_nearest(spark):
     assert hit >= 0.99 * 20 * len(by_query)
     assert rabitq.nearest(table.limit(0)).count() == 0
     assert rabitq.nearest(table.where("vec_id < 5")).count() == 4
+
+
+def test_search_of_a_block_takes_sums_by_the_block_and_scores_few_in_order(monkeypatch):
+    rng = np.random.default_rng(3)
+    vectors = np.round(rng.normal(size=(3000, 20)), 1)  # many equal scores
+    vectors[1::3] = vectors[::3]
+    turn = rabitq.rotation(rabitq.padded(20))
+    bits, norm, factor = rabitq.coded(vectors, turn)
+    codes = np.ascontiguousarray(bits).view(np.uint64)
+    cut = [rabitq.planes(q, turn) for q in vectors[:40]]
+    sums = rabitq.sums_inside(rabitq.unpacked(codes), cut)
+    counted = [sum(float(1 << b) * np.bitwise_count(codes & p[0][b]).sum(axis=1) for b in range(rabitq.QUERY_BITS)) for p in cut]
+    assert (sums == np.array(counted)).all()
+    scored, exact = [], rabitq.exact
+    monkeypatch.setattr(rabitq, "exact", lambda v, q: scored.append(len(v)) or exact(v, q))
+    ones, ids = np.bitwise_count(codes).sum(axis=1).astype(float), rng.permutation(3000)
+    for k, query in enumerate(vectors[:40]):
+        found, score = rabitq.best_of_block(ids[k], query, ids, vectors, codes, ones, norm, factor, turn, 20, cut[k], sums[k])
+        all_of = exact(vectors, query)
+        order = [i for i in np.lexsort((ids, -all_of)) if i != k][:20]
+        assert found.tolist() == ids[order].tolist() and score.tolist() == all_of[order].tolist()
+    assert max(scored) < 100
