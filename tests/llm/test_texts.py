@@ -306,3 +306,17 @@ def test_packing(documents):
 def test_open_bins_close_the_fullest():
     bins = packing.OpenBins(10, 2)
     assert [bins.place(n) for n in (6, 7, 9, 4, 10, 1)] == [(0, 0), (1, 0), (2, 0), (0, 6), (3, 0), (2, 9)]
+
+
+def test_bands_are_moved_once_and_rows_that_stay_are_not_looked_up(spark):
+    from cleanroll.session import Stages
+
+    nodes = spark.createDataFrame([(1, [1, 2]), (2, [1, 3]), (3, [9, 3]), (4, [8, 7])], "node long, _bands array<long>")
+    members = near.band_members(nodes)
+    assert sorted(map(tuple, members.select("b", "band", "node", "n").collect())) == [(0, 1, 1, 2), (0, 1, 2, 2), (1, 3, 2, 2), (1, 3, 3, 2)]
+    assert members._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("Exchange") == 1
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(5, text), (3, text.upper()), (7, text[:-4]), (9, "of its own"), (None, "")], "doc_id long, text string").coalesce(1)
+    staged = near.profiles(docs)
+    with Stages(spark) as stages:
+        assert sorted(map(tuple, near.decisions(stages, staged, 0.8).collect())) == [(0, 3), (2, 3)]
