@@ -46,7 +46,7 @@ class Table:
                 k = (k + 1) % len(order)
         self.freq = freq.astype(np.uint64)
         self.start = np.concatenate([[0], np.cumsum(freq)[:-1]]).astype(np.uint64)
-        self.symbol = np.repeat(np.arange(len(counts), dtype=np.uint32), freq)
+        self.symbol = np.repeat(np.arange(len(counts), dtype=np.uint16 if len(counts) <= 1 << 16 else np.uint32), freq)
 
 
 def encode_block(ids: np.ndarray, table: Table, lanes: int = LANES) -> bytes:
@@ -60,20 +60,26 @@ def encode_block(ids: np.ndarray, table: Table, lanes: int = LANES) -> bytes:
     x = np.full(lanes, LOW, dtype=np.uint64)
     freq, start = table.freq[ids], table.start[ids]
     limit = freq << np.uint64(63 - SCALE)
+    whole = np.uint64(1 << SCALE)
     words: list[np.ndarray] = []
     marks: list[tuple[int, np.ndarray]] = []
     written = 0
     for step in range(steps - 1, -1, -1):
         lo, hi = step * lanes, min(n, (step + 1) * lanes)
         part = x[: hi - lo]
-        full = part >= limit[lo:hi]
-        if full.any():
-            words.append(part[full].astype("<u4"))
-            written += len(words[-1])
-            part = np.where(full, part >> WORD, part)
+        full = (part >= limit[lo:hi]).nonzero()[0]
+        if len(full):
+            over = part[full]
+            words.append(over.astype("<u4"))
+            written += len(full)
+            part[full] = over >> WORD
         f = freq[lo:hi]
         q = part // f
-        x[: hi - lo] = (q << np.uint64(SCALE)) + (part - q * f) + start[lo:hi]
+        # (q << SCALE) + part - q * f + start
+        part += start[lo:hi]
+        f = whole - f
+        f *= q
+        part += f
         if step % CHECKPOINT_STEPS == 0:
             marks.append((written, x.copy()))
     marks = marks[::-1] or [(0, x)]
@@ -97,19 +103,21 @@ def decode_block(raw: bytes, table: Table, first: int = 0, last: int | None = No
     x = np.frombuffer(raw, dtype="<u8", count=lanes, offset=begin + 4).astype(np.uint64)
     low, high = first * CHECKPOINT_STEPS, min(-(-n // lanes), (marks if last is None else last) * CHECKPOINT_STEPS)
     out = np.empty(max(0, min(n, high * lanes) - low * lanes), dtype=np.uint32)
-    mask = np.uint64((1 << SCALE) - 1)
+    mask, scale = np.uint64((1 << SCALE) - 1), np.uint64(SCALE)
     for step in range(low, high):
         width = min(n - step * lanes, lanes)
         part = x[:width]
         slot = part & mask
-        ids = table.symbol[slot]
-        part = table.freq[ids] * (part >> np.uint64(SCALE)) + slot - table.start[ids]
-        low_state = part < LOW
-        k = int(low_state.sum())
+        ids = table.symbol.take(slot.view(np.int64)).astype(np.intp)
+        part >>= scale
+        part *= table.freq.take(ids)
+        slot -= table.start.take(ids)
+        part += slot
+        below = (part < LOW).nonzero()[0]
+        k = len(below)
         if k:
-            part[low_state] = (part[low_state] << WORD) | words[at : at + k]
+            part[below] = (part[below] << WORD) | words[at : at + k]
             at += k
-        x[:width] = part
         out[(step - low) * lanes : (step - low) * lanes + width] = ids
     if first == 0 and last is None and ((x != LOW).any() or zlib.crc32(out.astype("<u4").tobytes()) != crc):
         raise ValueError("a block does not match its checksum")
@@ -142,12 +150,22 @@ def id_counts(tokenized: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         total = np.zeros(0, dtype=np.int64)
+
+        def add(held: list[np.ndarray]) -> np.ndarray:
+            found = np.bincount(np.concatenate(held), minlength=len(total))
+            found[: len(total)] += total
+            return found
+
+        held: list[np.ndarray] = []  # of some documents: a count is as long as the vocabulary
+        tokens = 0
         for batch in batches:
             for raw, n in zip(batch.column("ids"), batch.column("n_tokens"), strict=True):
-                found = np.bincount(_ids(raw.as_py(), n.as_py()))
-                if len(found) > len(total):
-                    total = np.append(total, np.zeros(len(found) - len(total), dtype=np.int64))
-                total[: len(found)] += found
+                held.append(_ids(raw.as_py(), n.as_py()))
+                tokens += len(held[-1])
+                if tokens >= BLOCK_TOKENS:
+                    total, held, tokens = add(held), [], 0
+        if held:
+            total = add(held)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["id", "n"])
 

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from cleanroll.llm import licenses, lines, mixing, near, packing, quality
+from cleanroll.llm import licenses, lines, mixing, near, packing, quality, tokens
 from cleanroll.llm.queries import BYTE_BPE, WORD_BPE
 from cleanroll.llm.tokens import Encoder
 
@@ -34,6 +34,49 @@ def test_encoder_gives_the_tokenizers_ids(path):
         assert found.tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+class Unused:
+    def __getattr__(self, name):
+        raise AssertionError("plain texts are split by their bytes")
+
+
+@pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
+def test_plain_texts_are_split_together_and_distinct_units_looked_up(path, monkeypatch):
+    r = random.Random(4)
+    alphabet = "aaabBéÉßȍɏ,.!|_  \n\t12"
+    texts = ["".join(r.choice(alphabet) for _ in range(r.randint(0, 30))) for _ in range(2000)] + ["", " ", "a ", "", prose(300, 2)]
+    odd = ["it's", "a×b", "a÷", "ɐɐ", "<|endoftext|>", "a\x1cb", "ж 1", "½", ""]
+    mixed = [t for pair in zip(texts, odd * 250, strict=False) for t in pair]
+    shape = tokens.SPACELESS if path == WORD_BPE else tokens.SPACED
+    encoder = Encoder(path)
+    given = [t.lower() for t in mixed] if encoder.folds else mixed
+    units, at, plain = encoder._split(given)
+    assert plain.tolist() == [not (tokens.PLAIN.search(t) or tokens.ODD.search(t)) for t in given]
+    found = units.to_pylist()
+    assert [found[a:b] for a, b in zip(at[:-1], at[1:], strict=True)] == [shape.findall(t) if p else [] for t, p in zip(given, plain, strict=True)]
+    for name in ("UNIT", "ODD", "SPACED", "SPACELESS"):
+        monkeypatch.setattr(tokens, name, Unused())
+    asked = []
+    one = encoder._unit_ids
+    encoder._unit_ids = lambda units, **how: asked.extend(units) or one(units, **how)
+    whole = Tokenizer.from_file(path)
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids, repr(text)
+    assert len(asked) == len(set(asked)) > 100
+    assert encoder.model is not None
+
+
+@pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
+def test_small_units_have_the_tokenizers_ids(path):
+    """By the bare model, a line of units at a time: each letter, digit and mark, in runs, with and without a space before."""
+    r, encoder = random.Random(5), Encoder(path)
+    letters = [chr(c) for c in range(0x250) if chr(c).isalpha() and not tokens.PLAIN.search(chr(c))]
+    marks = [chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum() and c != 0x27]
+    units = letters + marks + list("0123456789") + ["".join(r.choice(kind) for _ in range(r.randint(2, 12))) for kind in (letters, marks, letters[:52]) for _ in range(1500)]
+    units += [] if encoder.folds else [f" {u}" for u in units] + ["2024", " 007"]
+    units = [u for u in units if encoder._small(u)]
+    assert len(units) > 4000 and encoder._plain_ids(units) == encoder._ids(units)
+
+
 @pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
 def test_encoder_keeps_capitals_whose_lower_case_is_not_plain(path):
     odd = [chr(c) for c in range(0x250) if chr(c).isupper() and any(ord(x) > 0x24F for x in chr(c).lower())]
