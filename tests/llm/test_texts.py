@@ -65,6 +65,18 @@ def test_plain_texts_are_split_together_and_distinct_units_looked_up(path, monke
     assert encoder.model is not None
 
 
+@pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
+def test_a_full_cache_changes_no_ids(path, monkeypatch):
+    """Texts a few at a time, plain or not, with room for a few units: each new unit is worked out again."""
+    monkeypatch.setattr(tokens, "CACHED_UNITS", 20)
+    monkeypatch.setattr(tokens, "CHARS_AT_ONCE", 200)
+    texts = [prose(k % 30, k) + ("", "", " it's", "\n")[k % 4] for k in range(300)] + [None, "", "a" * 100 + " b", "\n\n"]
+    whole, encoder = Tokenizer.from_file(path), Encoder(path)
+    found = list(encoder.encode(texts))
+    assert [x.tolist() for x in found] == [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert len(encoder.cache) == 20
+
+
 @pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
 def test_small_units_have_the_tokenizers_ids(path):
     """By the bare model, a line of units at a time: each letter, digit and mark, in runs, with and without a space before."""
